@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-from .scalars import strip
+from .scalars import let, strip
 
 TEXT_LIST = "array<string>"
 TEXT_MAP = "map<string,string>"
@@ -54,9 +54,19 @@ _STORED_ACTION = f"struct<{_ACTION_COLUMNS},`transaction_hash`:string,`events`:a
 
 
 def clean_json(col: Column) -> Column:
-    """Text that looks like a JSON list or object, straight-quoted, else NULL."""
-    text = F.translate(strip(col), _FANCY_QUOTES, _PLAIN_QUOTES)
-    return F.when(text.rlike(r"(?s)^(\[.*\]|\{.*\})$"), text)
+    """Stripped text with plain quotes."""
+    text = strip(col)
+    return F.when(text.rlike(f"[{_FANCY_QUOTES}]"), F.translate(text, _FANCY_QUOTES, _PLAIN_QUOTES)).otherwise(text)
+
+
+def _parse_text(text: Column) -> Column:
+    def between(opening: str, closing: str) -> Column:
+        return F.startswith(text, F.lit(opening)) & F.endswith(text, F.lit(closing))
+
+    return F.struct(
+        F.when(between("[", "]"), F.from_json(text, TEXT_LIST, _STRICT)).alias("items"),
+        F.when(between("{", "}"), F.from_json(text, TEXT_MAP, _STRICT)).alias("fields"),
+    )
 
 
 def parse_args(col: Column, data_type: T.DataType | None = None) -> Column:
@@ -65,24 +75,21 @@ def parse_args(col: Column, data_type: T.DataType | None = None) -> Column:
     Exactly one field is set for a readable list or object; both are NULL
     otherwise. Typed arrays, maps and structs are accepted besides text.
     """
-    no_items = F.lit(None).cast(TEXT_LIST)
-    no_fields = F.lit(None).cast(TEXT_MAP)
     if isinstance(data_type, T.ArrayType):
-        items, fields = col.cast(TEXT_LIST), no_fields
+        items, fields = col.cast(TEXT_LIST), F.lit(None).cast(TEXT_MAP)
     elif isinstance(data_type, T.MapType):
-        items, fields = no_items, col.cast(TEXT_MAP)
+        items, fields = F.lit(None).cast(TEXT_LIST), col.cast(TEXT_MAP)
     elif isinstance(data_type, T.StructType):
-        items, fields = no_items, F.from_json(F.to_json(col), TEXT_MAP)
+        items, fields = F.lit(None).cast(TEXT_LIST), F.from_json(F.to_json(col), TEXT_MAP)
     else:
-        text = clean_json(col)
-        items = F.when(F.startswith(text, F.lit("[")), F.from_json(text, TEXT_LIST, _STRICT))
-        fields = F.when(F.startswith(text, F.lit("{")), F.from_json(text, TEXT_MAP, _STRICT))
+        return let(clean_json(col), _parse_text)
     return F.struct(items.alias("items"), fields.alias("fields"))
 
 
 def as_list(args: Column) -> Column:
     """Items of a parsed list, values of a parsed object in order, else empty."""
-    return F.coalesce(args["items"], F.map_values(args["fields"]), F.array().cast(TEXT_LIST))
+    empty = F.array().cast(TEXT_LIST)
+    return let(args, lambda a: F.coalesce(a["items"], F.map_values(a["fields"]), empty))
 
 
 def text_list(col: Column, data_type: T.DataType | None = None) -> Column:

@@ -58,9 +58,9 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def integer_div(col: Column, width: int) -> Column:
-    """Floor division of a long by a positive constant, exact for negatives."""
-    w = F.lit(width).cast("long")
+def integer_div(col: Column, width: int | Column) -> Column:
+    """Floor division of a long by a positive width, exact for negatives."""
+    w = width if isinstance(width, Column) else F.lit(width).cast("long")
     return F.call_function("div", col - F.pmod(col, w), w)
 
 

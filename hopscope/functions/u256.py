@@ -30,7 +30,7 @@ def int_text(col: Column) -> Column:
     """Canonical text of a whole decimal number, NULL if it is not one."""
     text = strip(col)
     bare = F.regexp_replace(F.regexp_replace(text, "[+_]", ""), "^(-?)0+(?=[0-9])", "$1")
-    return F.when(
+    return F.when(text.rlike("^(0|[1-9][0-9]*)$"), text).when(
         text.rlike("^[+-]?[0-9]+(_[0-9]+)*$"), F.when(bare == "-0", F.lit("0")).otherwise(bare)
     )
 
@@ -157,19 +157,23 @@ def hex_digits(col: Column) -> Column:
     return F.when(digits.rlike("^[0-9a-f]+$"), F.regexp_replace(digits, "^0+(?=[0-9a-f])", ""))
 
 
-def u256_from_hex(col: Column) -> Column:
-    """Decimal text of hex text, with or without 0x; NULL if it is not hex.
+def hex_value(digits: Column) -> Column:
+    """Decimal text of ``hex_digits``.
 
     Values below 2^64 (nearly all token amounts) take the cheap first branch.
     """
-    return let(
-        hex_digits(col),
-        lambda d: F.when(F.length(d) <= 16, F.conv(d, 16, 10))
-        .when(F.length(d) <= 64, _hex_word_sum(d))
-        .otherwise(_hex_any_length(d)),
+    return (
+        F.when(F.length(digits) <= 16, F.conv(digits, 16, 10))
+        .when(F.length(digits) <= 64, _hex_word_sum(digits))
+        .otherwise(_hex_any_length(digits))
     )
 
 
+def u256_from_hex(col: Column) -> Column:
+    """Decimal text of hex text, with or without 0x; NULL if it is not hex."""
+    return let(hex_digits(col), hex_value)
+
+
 def _fraction_text(text: Column) -> Column:
     """Whole part of a JSON fraction; these are the only texts with a point."""
     number = F.coalesce(
@@ -179,10 +183,14 @@ def _fraction_text(text: Column) -> Column:
     return F.when(text.rlike(r"^-?[0-9]+\.[0-9]+(E[+-]?[0-9]+)?$"), int_text(number))
 
 
+def whole_number(col: Column) -> Column:
+    """Decimal text, or a JSON fraction cut off; NULL for anything else."""
+    return F.coalesce(int_text(col), _fraction_text(strip(col)))
+
+
 def u256_parse(col: Column) -> Column:
     """Amount given as decimal text, a JSON fraction (cut off) or hex text."""
-    text = strip(col)
-    return F.coalesce(int_text(text), _fraction_text(text), u256_from_hex(text))
+    return F.coalesce(whole_number(col), u256_from_hex(col))
 
 
 def tx_value_text(col: Column, data_type: T.DataType, keep_text: bool = True) -> Column:

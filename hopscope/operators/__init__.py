@@ -1,0 +1 @@
+"""Relational operators; each takes and returns DataFrames."""

@@ -14,16 +14,17 @@ from ..functions import (
     to_utc_ts,
     topic_addr,
     ts_iso,
-    u256_from_hex,
-    u256_parse,
 )
-from ..functions.json_args import EVENT_FIELDS, TEXT_LIST
-from ..functions.scalars import let, null_if_blank
+from ..functions.json_args import EVENT_FIELDS
+from ..functions.scalars import null_if_blank
+from ..functions.u256 import hex_digits, hex_value, whole_number
 from ..sources.columns import match_column
 
 # Argument names of the decoded events, best first.
 FROM_KEYS = ("from", "src", "sender")
 TO_KEYS = ("to", "dst", "recipient")
+OWNER_KEYS = ("owner",)
+SPENDER_KEYS = ("spender",)
 
 EVENT_KEY = ["chain", "tx_hash"]
 
@@ -94,93 +95,113 @@ def cap_events(events: DataFrame, max_events: int) -> DataFrame:
 
 def _parsed(events: DataFrame) -> DataFrame:
     """Replace the raw arguments and topics by parsed ones, parsed only once."""
-    first = parse_args(F.col("args_json"), events.schema["args_json"].dataType)
-    second = parse_args(F.col("args"), events.schema["args"].dataType)
-    chosen = let(
-        first,
-        lambda a: F.when(a["items"].isNotNull() | a["fields"].isNotNull(), a).otherwise(second),
+
+    def parsed(name: str) -> Column:
+        return parse_args(F.col(name), events.schema[name].dataType)
+
+    readable = F.col("_first.items").isNotNull() | F.col("_first.fields").isNotNull()
+    return (
+        events.withColumns({"_first": parsed("args_json"), "_second": parsed("args")})
+        .withColumns(
+            {
+                "_args": F.when(readable, F.col("_first")).otherwise(F.col("_second")),
+                "_topics": text_list(F.col("topics"), events.schema["topics"].dataType),
+            }
+        )
+        .withColumn("_list", as_list(F.col("_args")))
+        .drop("topics", "args_json", "args", "_first", "_second")
     )
-    return events.withColumns(
-        {"_args": chosen, "_topics": text_list(F.col("topics"), events.schema["topics"].dataType)}
-    ).drop("topics", "args_json", "args")
 
 
-def _field(args: Column, *keys: str) -> Column:
+def _field(args: Column, keys: tuple[str, ...]) -> Column:
     """First non-blank value under one of the names."""
     return F.coalesce(*[null_if_blank(F.try_element_at(args["fields"], F.lit(k))) for k in keys])
 
 
-def _party(args: Column, topics: Column, pos: int, keys: tuple[str, ...]) -> Column:
-    """Address from list position ``pos``, from named fields or from a topic."""
-    listed = F.when(F.size(args["items"]) >= 3, F.get(args["items"], F.lit(pos)))
-    from_topic = F.when(F.size(topics) >= 3, topic_addr(F.get(topics, F.lit(pos + 1))))
-    return F.coalesce(normalize_addr(F.coalesce(listed, _field(args, *keys))), from_topic)
+def _listed(args: Column, pos: int) -> Column:
+    """Value at a list position; lists of fewer than three values do not count."""
+    return F.when(F.size(args["items"]) >= 3, F.get(args["items"], F.lit(pos)))
 
 
-def _amount(args: Column, data: Column) -> Column:
-    """Amount from list position 2, from a named field or from the data word."""
-    listed = F.when(F.size(args["items"]) >= 3, F.get(args["items"], F.lit(2)))
-    fields = args["fields"]
-    named = F.when(
-        F.array_contains(F.map_keys(fields), "value"), F.try_element_at(fields, F.lit("value"))
-    ).otherwise(F.try_element_at(fields, F.lit("amount")))
-    return F.coalesce(u256_parse(F.coalesce(listed, named)), u256_from_hex(data))
-
-
-def decode_transfer(args: Column, topics: Column, data: Column) -> Column:
-    """``struct<from, to, amount>`` of a Transfer event."""
-    return F.struct(
-        _party(args, topics, 0, FROM_KEYS).alias("from"),
-        _party(args, topics, 1, TO_KEYS).alias("to"),
-        _amount(args, data).alias("amount"),
-    )
+def _with_parties_and_amount(named: DataFrame) -> DataFrame:
+    """Decode what Transfer and Approval share: two addresses and an amount.
 
+    Each is read from the argument list, else from named arguments, else from
+    the topics (addresses) or the data word (amount). The intermediate columns
+    keep every parse to one evaluation per row.
+    """
+    args, topics = F.col("_args"), F.col("_topics")
+    transfer = F.col("event_name") == "Transfer"
+    known = F.col("event_name").isin("Transfer", "Approval")
 
-def decode_approval(args: Column, topics: Column, data: Column) -> Column:
-    """``struct<owner, spender, amount>`` of an Approval event."""
-    return F.struct(
-        _party(args, topics, 0, ("owner",)).alias("owner"),
-        _party(args, topics, 1, ("spender",)).alias("spender"),
-        _amount(args, data).alias("amount"),
+    def party(pos: int, transfer_keys: tuple[str, ...], approval_keys: tuple[str, ...]) -> Column:
+        by_name = F.when(transfer, _field(args, transfer_keys)).otherwise(_field(args, approval_keys))
+        by_topic = F.when(F.size(topics) >= 3, topic_addr(F.get(topics, F.lit(pos + 1))))
+        given = normalize_addr(F.coalesce(_listed(args, pos), by_name))
+        return F.when(known, F.coalesce(given, by_topic))
+
+    fields = args["fields"]
+    has_value = F.array_contains(F.map_keys(fields), "value")
+    amount_key = F.when(has_value, F.lit("value")).otherwise(F.lit("amount"))
+    return (
+        named.withColumns(
+            {
+                "_party0": party(0, FROM_KEYS, OWNER_KEYS),
+                "_party1": party(1, TO_KEYS, SPENDER_KEYS),
+                "_given": F.when(known, F.coalesce(_listed(args, 2), F.try_element_at(fields, amount_key))),
+            }
+        )
+        .withColumn("_whole", whole_number(F.col("_given")))
+        .withColumn(
+            "_hex",
+            F.when(known & F.col("_whole").isNull(), F.coalesce(hex_digits(F.col("_given")), hex_digits(F.col("data")))),
+        )
+        .withColumn("amount", F.coalesce("_whole", hex_value(F.col("_hex"))))
     )
 
 
 def decode_events(events: DataFrame, max_args: int = 6, max_topics: int = 4) -> DataFrame:
     """Event fields as columns, one row per event; unknown fields are NULL.
 
-    Expects ``normalize_events`` rows; further columns such as ``event_pos``
-    are kept.
+    Expects ``normalize_events`` rows; an ``event_pos`` column is kept.
     """
-    parsed = _parsed(events)
-    args, topics, data = F.col("_args"), F.col("_topics"), F.col("data")
-    named = parsed.withColumn(
-        "event_name",
-        event_name(F.col("event_signature"), F.coalesce(F.col("event_hash"), F.get(topics, F.lit(0)))),
-    )
-    is_transfer = F.col("event_name") == "Transfer"
-    is_approval = F.col("event_name") == "Approval"
-    known = F.coalesce(is_transfer | is_approval, F.lit(False))
-    decoded = named.withColumns(
-        {
-            "_transfer": F.when(is_transfer, decode_transfer(args, topics, data)),
-            "_approval": F.when(is_approval, decode_approval(args, topics, data)),
-        }
-    )
+    topic0 = F.coalesce(F.col("event_hash"), F.get(F.col("_topics"), F.lit(0)))
+    named = _parsed(events).withColumn("event_name", event_name(F.col("event_signature"), topic0))
+    decoded = _with_parties_and_amount(named)
+    transfer = F.col("event_name") == "Transfer"
+    approval = F.col("event_name") == "Approval"
+    known = F.coalesce(transfer | approval, F.lit(False))
     fields = {
         "ts": ts_iso(F.col("block_timestamp")),
         "event_signature": F.when(~known, null_if_blank(F.col("event_signature"))),
-        "args_preview": preview(as_list(args), max_args),
-        "topics_preview": preview(topics, max_topics),
+        "args_preview": preview(F.col("_list"), max_args),
+        "topics_preview": preview(F.col("_topics"), max_topics),
         "token": F.when(known, F.col("contract")),
-        "from": F.col("_transfer.from"),
-        "to": F.col("_transfer.to"),
-        "owner": F.col("_approval.owner"),
-        "spender": F.col("_approval.spender"),
-        "amount": F.coalesce("_transfer.amount", "_approval.amount"),
+        "from": F.when(transfer, F.col("_party0")),
+        "to": F.when(transfer, F.col("_party1")),
+        "owner": F.when(approval, F.col("_party0")),
+        "spender": F.when(approval, F.col("_party1")),
     }
-    extra = [c for c in events.columns if c == "event_pos"]
     picked = [fields[n].alias(n) if n in fields else F.col(n) for n, _ in EVENT_FIELDS]
-    return decoded.select("chain", *picked, *extra)
+    return decoded.select("chain", *picked, *[c for c in events.columns if c == "event_pos"])
+
+
+def decode_transfer(events: DataFrame) -> DataFrame:
+    """Transfers only: token, both addresses and the exact amount."""
+    return (
+        decode_events(events)
+        .filter("event_name = 'Transfer'")
+        .select(*EVENT_KEY, "log_index", "token", "from", "to", "amount")
+    )
+
+
+def decode_approval(events: DataFrame) -> DataFrame:
+    """Approvals only: token, owner, spender and the exact amount."""
+    return (
+        decode_events(events)
+        .filter("event_name = 'Approval'")
+        .select(*EVENT_KEY, "log_index", "token", "owner", "spender", "amount")
+    )
 
 
 def events_per_tx(decoded: DataFrame) -> DataFrame:

@@ -112,21 +112,23 @@ def _meet(probes: DataFrame, tx: DataFrame, width: int) -> DataFrame:
     level = F.lit(0)
     for i, w in enumerate(widths[1:], start=1):
         level = F.when(length <= w, F.lit(i)).otherwise(level)
-    buckets = F.lit(None).cast("array<bigint>")
-    for i, w in enumerate(widths):
-        covered = F.sequence(integer_div(F.col("_reach") + 1, w), integer_div(F.col("_us"), w))
-        buckets = F.when(F.col("_level") == i, covered).otherwise(buckets)
-    right = tx.withColumn("_level", level).withColumn("_bucket", F.explode(buckets))
-
-    start = F.unix_micros("w0")
-    looks = [F.struct(F.lit(i).alias("_level"), integer_div(start, w).alias("_bucket")) for i, w in enumerate(widths)]
-    left = probes.select("*", F.inline(F.array(*looks)))
+    own_width = F.element_at(F.array(*[F.lit(w).cast("long") for w in widths]), F.col("_level") + 1)
+    covered = F.sequence(integer_div(F.col("_reach") + 1, F.col("_w")), integer_div(F.col("_us"), F.col("_w")))
+    right = (
+        tx.withColumn("_level", level)
+        .withColumn("_w", own_width)
+        .withColumn("_bucket", F.explode(covered))
+        .drop("_w")
+    )
 
-    w0, w1 = F.unix_micros("w0"), F.unix_micros("w1")
+    looks = [F.struct(F.lit(i).alias("_level"), integer_div(F.col("_w0"), w).alias("_bucket")) for i, w in enumerate(widths)]
+    left = probes.withColumns({"_w0": F.unix_micros("w0"), "_w1": F.unix_micros("w1")}).select(
+        "*", F.inline(F.array(*looks))
+    )
     return (
         left.join(right, ["chain", "actor", "_level", "_bucket"])
-        .filter((F.col("_reach") < w0) & (w0 <= F.col("_us")) & (F.col("_us") < w1))
-        .drop("_level", "_bucket", "_reach", "_us")
+        .filter((F.col("_reach") < F.col("_w0")) & (F.col("_w0") <= F.col("_us")) & (F.col("_us") < F.col("_w1")))
+        .drop("_level", "_bucket", "_reach", "_us", "_w0", "_w1")
     )
 
 

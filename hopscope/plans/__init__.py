@@ -1,0 +1 @@
+"""End-to-end plans composed of the operators."""

@@ -14,6 +14,9 @@ SETTINGS = {
     # costs one more shuffle further up.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Decoding makes long generated methods; HotSpot never compiles those above
+    # 8000 bytes, so let Spark split them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Prune first-N groups before they are shuffled.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     # Bloom filter from the small join side down to the big scan.

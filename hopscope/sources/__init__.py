@@ -1,0 +1 @@
+"""Reading, indexing, staging and writing."""
