@@ -71,7 +71,8 @@ where k.k <= e.event_id % 4
 
 def _over_events(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return spark.sql(sql.replace("from events", "from {events}"), events=events)
+    escaped = sql.replace("{", "{{").replace("}", "}}")
+    return spark.sql(escaped.replace("from events", "from {events}"), events=events)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,7 +165,8 @@ def _delta_rows(trace: DataFrame, legs: Column, id_cols: tuple[str, ...]) -> Dat
     focus = focus_addresses(F.col("from_address"), F.col("extra_focus"))
     own = F.filter(F.col("_legs"), lambda leg: leg["addr"] == F.col("addr"))
     exploded = (
-        trace.select(*keys, legs.alias("_legs"), F.explode(focus).alias("addr"))
+        trace.select(*keys, legs.alias("_legs"), focus.alias("_focus"))
+        .select(*keys, "_legs", F.explode("_focus").alias("addr"))
         .select(*keys, "addr", F.explode_outer(own).alias("_leg"))
         .select(*keys, "addr", "_leg.token", "_leg.limbs.*")
         .filter(F.col("token").isNull() | F.col("low").isNotNull())
