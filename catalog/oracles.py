@@ -168,7 +168,9 @@ ORACLES["empty_episodes"] = f"""
 from canon"""
 
 ORACLES["receipt_row_numbers"] = """
-select event_id as _idx, event_id, user_id from events where event_id < 100"""
+select row_number() over (order by event_id) - 1 as _idx, event_id, user_id from events"""
+
+ORACLES["limit_rows"] = f"{ORACLES['receipt_row_numbers']} qualify _idx < 100"
 
 ORACLES["project_tolerant"] = f"""
 {_with(_BASE)} select transaction_hash, block_number, cast(null as varchar) as gas_price from transactions"""

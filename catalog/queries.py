@@ -146,11 +146,21 @@ def empty_episodes(spark, d):
     return hs.empty_episodes(hs.canonical_receipts(bare)).select("receipt_id", "label", *_EPISODE_SUMMARY)
 
 
+def _numbered(spark, d) -> DataFrame:
+    df = spark.read.parquet(f"{d}/events.parquet")
+    return df.select(F.col("_metadata.row_index").alias("_idx"), "event_id", "user_id")
+
+
 @query
 def receipt_row_numbers(spark, d):
-    """Rows carry file and position; the first 100 rows of the file are kept."""
-    df = spark.read.parquet(f"{d}/events.parquet")
-    return df.select(F.col("_metadata.row_index").alias("_idx"), "event_id", "user_id").filter("_idx < 100")
+    """Every row with its position in the file."""
+    return _numbered(spark, d)
+
+
+@query
+def limit_rows(spark, d):
+    """The first rows of each file, the feature behind ``limit_rows``."""
+    return _numbered(spark, d).filter("_idx < 100")
 
 
 @query

@@ -75,8 +75,8 @@ def normalize_addr(col: Column) -> Column:
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
-    entries = [F.lit(x) for pair in table.items() for x in pair]
-    return F.try_element_at(F.create_map(*entries), key)
+    entries = ", ".join(f"'{k}', '{v}'" for k, v in table.items())
+    return F.try_element_at(F.expr(f"map({entries})"), key)
 
 
 def canonical_chain(col: Column, data_type: T.DataType | None = None) -> Column:

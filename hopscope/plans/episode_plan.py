@@ -19,6 +19,9 @@ from ..operators.window_join import window_span
 from ..sources.columns import match_column
 from ..sources.staging import stage
 
+_ACTION_COLUMNS = (
+    "phase", "seq", "chain", "transaction_hash", "block_timestamp", "to_address", "value", "method_id",
+)
 _PROBE_INPUTS = ("_recv", "_chain", "_ts", "_src_chain", "_src_addr", "_src_tx_hash")
 
 
@@ -38,7 +41,8 @@ def episode_probes(receipts: DataFrame, tx: DataFrame, config: EpisodeConfig = E
 def episode_actions(probes: DataFrame, tx: DataFrame, config: EpisodeConfig = EpisodeConfig()) -> DataFrame:
     """Capped actions of both phases in long form, from one pass over ``tx``."""
     in_range = normalize_transactions(prune_to_span(tx, "block_timestamp", window_span(probes)))
-    return collect_phase(probes, tx_by_actor(in_range, config.include_to_address), config)
+    actions = collect_phase(probes, tx_by_actor(in_range, config.include_to_address), config)
+    return actions.select(*config.id_cols, *_ACTION_COLUMNS)
 
 
 def enrich(actions: DataFrame, events: DataFrame, max_events: int, span: DataFrame | None = None) -> DataFrame:
