@@ -28,9 +28,8 @@ def resolve_source_actor(receipts: DataFrame, tx: DataFrame, config: EpisodeConf
     with the receipts on the preserved side could not do.
     """
     ids = list(config.id_cols)
-    keys = _search_windows(
-        receipts.filter(F.col("_src_chain").isNotNull() & (F.length("_src_tx_hash") > 0)), config
-    ).select(
+    searched = _search_windows(receipts.filter(F.col("_src_chain").isNotNull()), config)
+    keys = searched.filter(F.length("_src_tx_hash") > 0).select(
         *ids,
         F.col("_src_chain").alias("chain"),
         F.col("_src_tx_hash").alias("transaction_hash"),

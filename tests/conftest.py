@@ -2,25 +2,22 @@ import os
 import sys
 
 import pytest
-from pyspark.sql import SparkSession
-
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    from hopscope.session import builder
+
     session = (
-        SparkSession.builder.master("local[8]")
+        builder("local[8]")
         .appName("hopscope-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    from hopscope.session import tune
-
-    yield tune(session)
+    yield session
     session.stop()
