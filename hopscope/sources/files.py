@@ -19,6 +19,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def read_folder(spark: SparkSession, folder: str, merge_schema: bool = False) -> DataFrame:
+    """All parquet files below a folder.
+
+    ``key=value`` folders become partition columns, so that a filter on them
+    skips whole folders; plain subfolders are walked.
+    """
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    children = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)
+    partitioned = any(c.isDirectory() and "=" in c.getPath().getName() for c in children)
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    if not partitioned:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return reader.parquet(folder)
+
+
 def list_parquet(spark: SparkSession, roots: Sequence[str], recursive: bool = True) -> DataFrame:
     """``(path, length)`` of every ``*.parquet`` file under the roots."""
     roots = [r for r in roots if path_exists(spark, r)]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.receipts import ROLES, canonical_receipts
 from .columns import project_tolerant, union_promoting
-from .files import file_columns, list_parquet, path_exists
+from .files import file_columns, list_parquet, path_exists, read_folder
 
 TX_COLUMNS = {
     "block_timestamp": "timestamp",
@@ -71,7 +71,7 @@ def _chain_tables(spark: SparkSession, root: str, chains: Sequence[str], target:
     for chain in chains:
         folder = f"{root.rstrip('/')}/{chain}/{target}"
         if path_exists(spark, folder):
-            yield chain, spark.read.option("mergeSchema", "true").parquet(folder)
+            yield chain, read_folder(spark, folder, merge_schema=True)
         elif strict:
             raise FileNotFoundError(f"no {target} folder: {folder}")
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import to_utc_ts, ts_iso
-from .files import list_parquet, open_uri, path_exists
+from .files import list_parquet, open_uri, path_exists, read_folder
 
 TIMESTAMP_COL = "block_timestamp"
 TARGETS = ("transactions", "decoded_events", "logs")
@@ -185,12 +185,12 @@ def read_for_range(
     if mine is None or mine.isEmpty():
         if strict:
             raise FileNotFoundError(f"no time index for {chain}/{target}")
-        return spark.read.parquet(folder)
+        return read_folder(spark, folder)
     hits = select_files(mine.filter(F.col("error").isNull()), start, end)
     chosen = [r.file for r in hits.select("file").toLocalIterator()]
     if strict and not chosen:
         raise FileNotFoundError(f"time index of {chain}/{target} has no file in the range")
     chosen += [r.file for r in mine.filter(F.col("error").isNotNull()).select("file").toLocalIterator()]
     if not chosen:
-        return spark.read.parquet(folder).limit(0)
+        return read_folder(spark, folder).limit(0)
     return spark.read.parquet(*chosen)
