@@ -77,29 +77,39 @@ def limbs_text(low: Column, mid: Column, top: Column) -> Column:
             lambda u: F.when(u["top"] >= 0, _render(u)).otherwise(F.concat(F.lit("-"), let(down, _render))),
         )
 
-    return let(sums, body)
+    return F.when((mid == 0) & (top == 0), low.cast(_WIDE).cast("string")).otherwise(let(sums, body))
+
+
+MAX_DIGITS = TOP_DIGITS + 2 * LIMB_DIGITS
 
 
 def limbs_of(text: Column, sign: Column | None = None) -> Column:
-    """Signed limbs of canonical decimal text; NULL beyond 86 digits."""
-    width = TOP_DIGITS + 2 * LIMB_DIGITS
+    """Signed limbs of canonical decimal text; NULL beyond 86 digits.
+
+    Up to 25 characters, which is nearly every amount, fit the low limb.
+    """
     digits = F.regexp_replace(text, "^-", "")
-    padded = F.when(F.length(digits) <= width, F.lpad(digits, width, "0"))
-    factor = F.when(F.startswith(text, F.lit("-")), F.lit(-1)).otherwise(F.lit(1))
+    padded = F.when(F.length(digits) <= MAX_DIGITS, F.lpad(digits, MAX_DIGITS, "0"))
+    minus = F.startswith(text, F.lit("-"))
     if sign is not None:
-        factor = factor * sign
-    factor = factor.cast("decimal(1,0)")
+        minus = minus != (sign < 0)
 
-    def part(start: int, length: int) -> Column:
-        return (F.substring(padded, start, length).cast(f"decimal({length},0)") * factor).cast(
-            f"decimal({length},0)"
+    def signed(value: Column, negative: Column | None) -> Column:
+        wide = value.cast(_WIDE)
+        return wide if negative is None else F.when(negative, -wide).otherwise(wide).cast(_WIDE)
+
+    def limbs(low: Column, mid: Column, top: Column) -> Column:
+        return F.named_struct(F.lit("low"), low, F.lit("mid"), mid, F.lit("top"), top)
+
+    def long_form(all_digits: Column) -> Column:
+        part = lambda start, length: signed(F.substring(all_digits, start, length), minus)
+        return limbs(
+            part(TOP_DIGITS + LIMB_DIGITS + 1, LIMB_DIGITS), part(TOP_DIGITS + 1, LIMB_DIGITS), part(1, TOP_DIGITS)
         )
 
-    return F.struct(
-        part(TOP_DIGITS + LIMB_DIGITS + 1, LIMB_DIGITS).alias("low"),
-        part(TOP_DIGITS + 1, LIMB_DIGITS).alias("mid"),
-        part(1, TOP_DIGITS).alias("top"),
-    )
+    zero = F.lit(0).cast(_WIDE)
+    short = limbs(signed(text, None if sign is None else sign < 0), zero, zero)
+    return F.when(F.length(text) < LIMB_DIGITS, short).otherwise(let(padded, long_form))
 
 
 def _hex_word_sum(digits: Column) -> Column:

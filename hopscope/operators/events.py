@@ -65,7 +65,7 @@ def normalize_events(df: DataFrame) -> DataFrame:
 
 def scan_events(events: DataFrame, hashes: DataFrame, lo: Column | None = None, hi: Column | None = None) -> DataFrame:
     """Normalised events of the given ``(chain, tx_hash)`` keys, in a time range."""
-    kept = events.join(hashes.select(*EVENT_KEY), EVENT_KEY, "left_semi")
+    kept = events.join(hashes.select(*EVENT_KEY).distinct(), EVENT_KEY, "left_semi")
     if lo is None or hi is None:
         return kept
     return kept.filter((F.col("block_timestamp") >= lo) & (F.col("block_timestamp") < hi))

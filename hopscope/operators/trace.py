@@ -8,7 +8,7 @@ from ..config import TraceConfig
 from ..functions import normalize_addr, parse_actions, to_utc_ts, ts_iso
 from ..functions.json_args import bare_integers
 from ..functions.scalars import let, null_if_blank, strip
-from ..functions.u256 import LIMBS, limbs_of, limbs_text
+from ..functions.u256 import LIMBS, MAX_DIGITS, limbs_of, limbs_text
 from .transactions import tx_order
 
 NATIVE = "native"
@@ -103,15 +103,22 @@ def trace_with_events(actions: DataFrame, nested: DataFrame) -> DataFrame:
 
 
 def _leg(addr: Column, token: Column, amount: Column, sign: int) -> Column:
-    return F.struct(addr.alias("addr"), token.alias("token"), limbs_of(amount, F.lit(sign)).cast(LIMBS).alias("limbs"))
+    return F.named_struct(
+        F.lit("addr"), addr, F.lit("token"), token, F.lit("amount"), amount, F.lit("sign"), F.lit(sign)
+    )
 
 
 def transfer_legs(events: Column) -> Column:
-    """Two signed legs per Transfer event that has an amount."""
-    moves = F.filter(events, lambda e: (e["event_name"] == "Transfer") & e["amount"].isNotNull())
+    """Two signed legs per Transfer event that has an amount.
+
+    Amounts too long for the limbs are no uint256 and carry no balance.
+    """
+    moves = F.filter(
+        events, lambda e: (e["event_name"] == "Transfer") & (F.length(e["amount"]) <= MAX_DIGITS)
+    )
 
     def legs(e: Column) -> Column:
-        token = F.coalesce(normalize_addr(F.coalesce(null_if_blank(e["token"]), e["contract"])), F.lit(UNKNOWN_TOKEN))
+        token = F.coalesce(null_if_blank(e["token"]), e["contract"], F.lit(UNKNOWN_TOKEN))
         return F.array(_leg(e["from"], token, e["amount"], -1), _leg(e["to"], token, e["amount"], 1))
 
     return F.flatten(F.transform(moves, legs))
@@ -121,7 +128,8 @@ def native_legs(value: Column, from_address: Column, to_address: Column) -> Colu
     """Two signed legs of the native value; none when it is zero or unknown."""
     native = F.lit(NATIVE)
     legs = F.array(_leg(from_address, native, value, -1), _leg(to_address, native, value, 1))
-    return F.when(value.isNotNull() & (value != "0"), legs).otherwise(F.filter(legs, lambda x: F.lit(False)))
+    moved = (value != "0") & (F.length(value) <= MAX_DIGITS)
+    return F.when(moved, legs).otherwise(F.filter(legs, lambda x: F.lit(False)))
 
 
 def net_delta(legs: Column, focus: Column) -> Column:
@@ -133,24 +141,22 @@ def net_delta(legs: Column, focus: Column) -> Column:
     names = LIMBS.fieldNames()
     zero = F.struct(*[F.lit(0).cast("decimal(38,0)").alias(n) for n in names])
 
-    def total(own: Column, token: Column) -> Column:
-        return F.aggregate(
-            F.filter(own, lambda leg: leg["token"] == token),
-            zero,
-            lambda acc, leg: F.struct(
-                *[(acc[n] + leg["limbs"][n]).cast("decimal(38,0)").alias(n) for n in names]
-            ),
-            lambda s: limbs_text(s["low"], s["mid"], s["top"]),
+    def add(acc: Column, leg: Column) -> Column:
+        return let(
+            limbs_of(leg["amount"], leg["sign"]),
+            lambda x: F.struct(*[(acc[n] + x[n]).cast("decimal(38,0)").alias(n) for n in names]),
         )
 
+    def total(own: Column, token: Column) -> Column:
+        same = F.filter(own, lambda leg: leg["token"] == token)
+        return F.aggregate(same, zero, add, lambda s: limbs_text(s["low"], s["mid"], s["top"]))
+
     def per_token(own: Column) -> Column:
         tokens = F.array_distinct(F.transform(own, lambda leg: leg["token"]))
         return F.map_from_entries(F.transform(tokens, lambda t: F.struct(t, total(own, t))))
 
-    # Amounts too long for the limbs are no uint256; they carry no balance.
-    usable = F.filter(legs, lambda leg: leg["limbs"]["low"].isNotNull())
     return let(
-        usable,
+        legs,
         lambda all_legs: F.map_from_entries(
             F.transform(
                 focus,
@@ -168,10 +174,10 @@ def _delta_rows(trace: DataFrame, legs: Column, id_cols: tuple[str, ...]) -> Dat
         trace.select(*keys, legs.alias("_legs"), focus.alias("_focus"))
         .select(*keys, "_legs", F.explode("_focus").alias("addr"))
         .select(*keys, "addr", F.explode_outer(own).alias("_leg"))
-        .select(*keys, "addr", "_leg.token", "_leg.limbs.*")
-        .filter(F.col("token").isNull() | F.col("low").isNotNull())
+        .select(*keys, "addr", "_leg.token", limbs_of(F.col("_leg.amount"), F.col("_leg.sign")).alias("_limbs"))
     )
-    sums = exploded.groupBy(*keys, "addr", "token").agg(*[F.sum(n).alias(n) for n in LIMBS.fieldNames()])
+    names = LIMBS.fieldNames()
+    sums = exploded.groupBy(*keys, "addr", "token").agg(*[F.sum(f"_limbs.{n}").alias(n) for n in names])
     return sums.select(*keys, "addr", "token", limbs_text(F.col("low"), F.col("mid"), F.col("top")).alias("delta"))
 
 

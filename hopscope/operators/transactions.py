@@ -105,11 +105,11 @@ def scan_by_actors(
 
     ``actors`` has the columns ``chain`` and ``actor``.
     """
-    keys = actors.select("chain", normalize_addr(F.col("actor")).alias(f"{side}_address"))
+    keys = actors.select("chain", normalize_addr(F.col("actor")).alias(f"{side}_address")).distinct()
     return prune_time(tx, "block_timestamp", start, end).join(keys, ["chain", f"{side}_address"], "left_semi")
 
 
 def scan_by_hashes(tx: DataFrame, hashes: DataFrame, start: Column, end: Column) -> DataFrame:
     """Transactions in ``[start, end)`` whose ``(chain, transaction_hash)`` is asked for."""
-    keys = hashes.select("chain", F.lower("transaction_hash").alias("transaction_hash"))
+    keys = hashes.select("chain", F.lower("transaction_hash").alias("transaction_hash")).distinct()
     return prune_time(tx, "block_timestamp", start, end).join(keys, ["chain", "transaction_hash"], "left_semi")

@@ -50,7 +50,7 @@ def enrich(actions: DataFrame, events: DataFrame, max_events: int, span: DataFra
     ts_col = match_column(events.columns, ["block_timestamp"])
     if span is not None and ts_col is not None:
         events = prune_to_span(events, ts_col, span)
-    hashes = actions.select("chain", F.col("transaction_hash").alias("tx_hash")).distinct()
+    hashes = actions.select("chain", F.col("transaction_hash").alias("tx_hash"))
     kept = cap_events(scan_events(normalize_events(events), hashes), max_events)
     return attach_events(actions, events_per_tx(decode_events(kept)))
 

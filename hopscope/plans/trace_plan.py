@@ -28,8 +28,7 @@ def joined_trace(
     ts_col = match_column(events.columns, ["block_timestamp"])
     if ts_col is not None:
         events = prune_to_span(events, ts_col, span)
-    asked = actions.select(*TX_KEY).distinct()
-    kept = cap_events(scan_events(normalize_events(events), asked), config.max_events_per_tx)
+    kept = cap_events(scan_events(normalize_events(events), actions.select(*TX_KEY)), config.max_events_per_tx)
     return trace_with_events(trace, events_per_tx(decode_events(kept)))
 
 

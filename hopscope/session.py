@@ -39,8 +39,19 @@ def builder(master: str | None = None) -> SparkSession.Builder:
     return made.master(master) if master else made
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session and hand it back."""
+PARTITION_BYTES = 128 << 20
+
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the settings to a session and hand it back.
+
+    ``shuffle_bytes``, the volume of the largest shuffle (about the narrow
+    transaction columns of the scanned time range), sizes the shuffle
+    partitions; AQE merges those that turn out small.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shuffle_bytes // PARTITION_BYTES)
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return spark
