@@ -29,23 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopscope.llm import words
+from hopscope.llm.rows import keyed
 from hopscope.sources.staging import stage
 
 LENGTH = 35
 SEED = 8
 _FACTOR = np.uint64(0xC2B2AE3D27D4EB4F)
 _INVERSE = np.uint64(pow(int(_FACTOR), -1, 1 << 64))
-KEY = ("id", "h")
-
-
-def keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """``id`` (the key as text) and ``h`` (hash of the text) tell rows apart; rows equal in both have equal results."""
-    return docs.select(
-        docs[f"`{key}`"].alias("key"),
-        F.coalesce(docs[f"`{key}`"].cast("string"), F.lit("\0")).alias("id"),
-        F.xxhash64(docs[f"`{text}`"]).alias("h"),
-        docs[f"`{text}`"].alias("text"),
-    )
 
 
 def anchors_of(hashes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -153,7 +143,7 @@ def _window_rows(length: int):
 def find_repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     """(id, h, spans): the word ranges, end exclusive, covered by windows that also start elsewhere.
 
-    ``rows`` as from ``keyed``. A row is listed only if it has such a window.
+    ``rows`` as from ``rows.keyed``. A row is listed only if it has such a window.
     """
     texts = rows.select("id", "h", "text")
     again = (
