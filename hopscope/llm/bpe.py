@@ -17,13 +17,15 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
+import re
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, StringType
@@ -31,7 +33,29 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType
 from hopscope.llm import words
 
 # Fixed value: the splitting rule of byte-level BPE.
-PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
+PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^{space}{letter}{number}]+|{S}+(?!{notS})|{S}+"""
+_CLASSES = {"L": r"\p{L}", "N": r"\p{N}", "S": r"\p{White_Space}", "notS": r"\P{White_Space}"}
+_CLASSES |= {"letter": _CLASSES["L"], "number": _CLASSES["N"], "space": _CLASSES["S"]}
+_FAR = re.compile("[\U00010000-\U0010ffff]")
+
+
+def _near_classes() -> dict[str, str]:
+    """The same classes spelt out for code points below 65536, where the ``re`` module tests sets by table."""
+    out = {}
+    for name, category in (("letter", "L"), ("number", "N"), ("space", "White_Space")):
+        have = regex.compile(r"\p{%s}+" % category)
+        runs = have.finditer("".join(map(chr, range(0x10000))))
+        out[name] = "".join(rf"\u{m.start():04x}-\u{m.end() - 1:04x}" for m in runs)
+    short = {"L": "letter", "N": "number", "S": "space"}
+    return out | {k: f"[{out[v]}]" for k, v in short.items()} | {"notS": f"[^{out['space']}]"}
+
+
+@cache
+def _splitters():
+    """(pattern for texts of near code points, pattern for all)."""
+    return re.compile(PIECES.format(**_near_classes())), regex.compile(PIECES.format(**_CLASSES))
+
+
 # How an open piece goes on, by the kind of its last character.
 _ON = {
     "letter": regex.compile(r"\p{L}*"),
@@ -42,7 +66,7 @@ _ON = {
 _KIND = regex.compile(r"(\p{L})|(\p{N})|(\p{White_Space})|(.)", regex.S)
 _HOLD = 3  # characters that can still change how the text before them is split
 SHORT = 64
-CACHE = 1 << 17
+_NEVER = np.int32((1 << 31) - 1)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -66,10 +90,12 @@ class Vocabulary:
         self.ids = {to_bytes(t): i for t, i in model["vocab"].items() if t not in self.special}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.merges = [(to_bytes(a), to_bytes(b)) for a, b in pairs]
-        self.ranks = {(self.ids[a], self.ids[b]): (r, self.ids[a + b]) for r, (a, b) in enumerate(self.merges)}
+        self.ranks = {(self.ids[a], self.ids[b]): r for r, (a, b) in enumerate(self.merges)}
+        self.made = [self.ids[a + b] for a, b in self.merges]
         self.single = [self.ids[bytes([b])] for b in range(256)]
         self.bytes = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
         self.lookahead = sufficient_lookahead(self.merges)
+        self.table = PairTable(self.ranks)
 
 
 def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
@@ -110,59 +136,136 @@ def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
 def merge(vocabulary: Vocabulary, piece: bytes) -> list[int]:
     """Ids of one piece: the lowest rank merges first, the leftmost of equal ones."""
     ids = [vocabulary.single[b] for b in piece]
-    ranks = vocabulary.ranks
+    ranks, made = vocabulary.ranks, vocabulary.made
     if len(ids) <= SHORT:
-        while found := [(ranks[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]:
-            i = min(found)[1]
-            ids[i : i + 2] = [ranks[ids[i], ids[i + 1]][1]]
+        rank = ranks.get
+        pairs = [rank(p, _NEVER) for p in zip(ids, ids[1:])]
+        while pairs and (least := min(pairs)) < _NEVER:
+            i = pairs.index(least)
+            ids[i] = made[least]
+            del ids[i + 1], pairs[i]
+            if i:
+                pairs[i - 1] = rank((ids[i - 1], ids[i]), _NEVER)
+            if i < len(pairs):
+                pairs[i] = rank((ids[i], ids[i + 1]), _NEVER)
         return ids
     after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-    queue = [(ranks[p][0], i, ranks[p][1]) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
+    queue = [(ranks[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
     heapq.heapify(queue)
     gone, end = [False] * len(ids), len(ids)
     while queue:
-        r, i, made = heapq.heappop(queue)
-        j = after[i] if not gone[i] else end
-        if j >= end or ranks.get((ids[i], ids[j]), (None,))[0] != r:
+        least, i = heapq.heappop(queue)
+        j = end if gone[i] else after[i]
+        if j >= end or ranks.get((ids[i], ids[j])) != least:
             continue
-        ids[i], gone[j], after[i] = made, True, after[j]
+        ids[i], gone[j], after[i] = made[least], True, after[j]
         if after[i] < end:
             before[after[i]] = i
-            found = ranks.get((made, ids[after[i]]))
-            if found:
-                heapq.heappush(queue, (found[0], i, found[1]))
-        if before[i] >= 0:
-            found = ranks.get((ids[before[i]], made))
-            if found:
-                heapq.heappush(queue, (found[0], before[i], found[1]))
+            if (r := ranks.get((ids[i], ids[after[i]]))) is not None:
+                heapq.heappush(queue, (r, i))
+        if before[i] >= 0 and (r := ranks.get((ids[before[i]], ids[i]))) is not None:
+            heapq.heappush(queue, (r, before[i]))
     return [x for x, dead in zip(ids, gone, strict=True) if not dead]
 
 
-class _Pieces(dict):
-    """Ids of short pieces met before; emptied when full, so its memory is bounded."""
+def _packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+class PairTable:
+    """Ranks of pairs of ids for whole arrays: a hash table in two arrays, probed in line."""
+
+    def __init__(self, ranks: dict[tuple[int, int], int]):
+        self.bits = max(4, len(ranks).bit_length() + 2)
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.full(1 << self.bits, _NEVER, np.int32)
+        for (a, b), r in ranks.items():
+            at = int(self._slot(np.array([a << 32 | b]))[0])
+            while self.keys[at] != -1:
+                at = (at + 1) & (len(self.keys) - 1)
+            self.keys[at], self.values[at] = a << 32 | b, r
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left.astype(np.int64) << 32 | right
+        at = self._slot(key)
+        seen = self.keys[at]
+        out = np.where(seen == key, self.values[at], _NEVER)
+        open_ = np.flatnonzero((seen != key) & (seen != -1))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (len(self.keys) - 1)
+            seen = self.keys[at[open_]]
+            hit = seen == key[open_]
+            out[open_[hit]] = self.values[at[open_[hit]]]
+            open_ = open_[~hit & (seen != -1)]
+        return out
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
 
-    def __missing__(self, piece: str):
-        made = merge(self.vocabulary, piece.encode())
-        if len(piece) <= SHORT:
-            if len(self) >= CACHE:
-                self.clear()
-            self[piece] = made
-        return made
+def merge_many(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of many pieces at once (bytes and offsets), and offsets into them.
+
+    Each round merges the best pair of every piece that still has one.
+    """
+    made = np.array(vocabulary.made, np.int32)
+    lens = np.diff(offsets)
+    sizes = np.zeros(len(lens), np.int64)
+    done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    piece = np.flatnonzero(lens)
+    lens = lens[piece]
+    ids = np.array(vocabulary.single, np.int32)[data]
+    ends = np.cumsum(lens)
+    rank = np.full(len(ids), _NEVER, np.int32)
+    if len(ids) > 1:
+        rank[:-1] = vocabulary.table.ranks(ids[:-1], ids[1:])
+    rank[ends - 1] = _NEVER
+    while len(piece):
+        starts = np.cumsum(lens) - lens
+        least = np.minimum.reduceat(rank, starts)
+        go = least < _NEVER
+        if not go.all():
+            stop = np.repeat(~go, lens)
+            done.append((piece[~go], lens[~go], ids[stop]))
+            sizes[piece[~go]] = lens[~go]
+            ids, rank = ids[~stop], rank[~stop]
+            piece, lens, least = piece[go], lens[go], least[go]
+            if not len(piece):
+                break
+            starts = np.cumsum(lens) - lens
+        owner = np.repeat(np.arange(len(piece)), lens)
+        hits = np.flatnonzero(rank == least[owner])
+        of = owner[hits]
+        at = hits[np.concatenate([[True], of[1:] != of[:-1]])]
+        ids[at] = made[least]
+        keep = np.ones(len(ids), bool)
+        keep[at + 1] = False
+        ids, rank = ids[keep], rank[keep]
+        at = at - np.arange(len(at))
+        lens = lens - 1
+        ends = np.cumsum(lens)
+        last = at == ends - 1
+        rank[at[last]] = _NEVER
+        inner = at[~last]
+        rank[inner] = vocabulary.table.ranks(ids[inner], ids[inner + 1])
+        inner = at[at > ends - lens]
+        rank[inner - 1] = vocabulary.table.ranks(ids[inner - 1], ids[inner])
+    place = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.zeros(place[-1], np.int32)
+    for piece, lens, made_ids in done:
+        out[np.repeat(place[piece] - (np.cumsum(lens) - lens), lens) + np.arange(len(made_ids))] = made_ids
+    return out, place
 
 
 class Encoder:
-    """``feed`` text in any portions, then ``finish``; both return the ids that are settled by then."""
+    """``feed`` text in any portions, then ``finish``; both return the ids settled by then, as an int array."""
 
     def __init__(self, vocabulary: Vocabulary, window: int = 4096):
         self.vocabulary = vocabulary
         self.window = max(window, 2 * vocabulary.lookahead)
-        self.known = _Pieces(vocabulary)
-        self.split = regex.compile(PIECES)
+        self.near, self.far = _splitters()
         self.specials = sorted(vocabulary.special, key=len, reverse=True)
-        self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
+        self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
         self._reset()
 
     def _reset(self) -> None:
@@ -170,102 +273,135 @@ class Encoder:
         self.open = b""  # of a piece that has begun to be emitted
         self.kind = ""
 
-    def feed(self, text: str) -> list[int]:
+    def feed(self, text: str) -> array:
         self.text += text
+        out = bytearray()
         if self.special is None:
-            return self._advance(False)
-        out: list[int] = []
+            return array("i", bytes(self._advance(out, False)))
         found = self.special.split(self.text)
         for before, token in zip(found[:-1:2], found[1::2], strict=True):
             self.text = before
-            out += self._advance(True)
-            out.append(self.vocabulary.special[token])
+            self._advance(out, True)
+            out += _packed([self.vocabulary.special[token]])
         self.text = found[-1]
         # A special token may have begun at the end.
-        tail = next((n for n in range(min(len(self.text), len(self.specials[0]) - 1), 0, -1) if any(s.startswith(self.text[-n:]) for s in self.specials)), 0)
+        begun = range(min(len(self.text), len(self.specials[0]) - 1), 0, -1)
+        tail = next((n for n in begun if any(s.startswith(self.text[-n:]) for s in self.specials)), 0)
         cut = len(self.text) - tail
         kept, self.text = self.text[cut:], self.text[:cut]
-        out += self._advance(False)
+        self._advance(out, False)
         self.text += kept
-        return out
+        return array("i", bytes(out))
 
-    def finish(self) -> list[int]:
-        out = self._advance(True)
+    def finish(self) -> array:
+        out = self._advance(bytearray(), True)
         self._reset()
-        return out
+        return array("i", bytes(out))
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> array:
         return self.feed(text) + self.finish()
 
-    def _advance(self, last: bool) -> list[int]:
-        out: list[int] = []
+    def _advance(self, out: bytearray, last: bool) -> bytearray:
         if self.kind:
-            out += self._go_on(last)
+            self._go_on(out, last)
             if self.kind:
                 return out
-        pieces = self.split.findall(self.text)
+        pieces = (self.far if _FAR.search(self.text) else self.near).findall(self.text)
         if last:
             self.text = ""
         else:
-            size, n = len(self.text), len(pieces)
-            held = 0
+            size, n, held = len(self.text), len(pieces), 0
             while n and (n == len(pieces) or held < _HOLD):
                 n -= 1
                 held += len(pieces[n])
             pieces, self.text = pieces[:n], self.text[size - held :]
-        small = all(len(p) <= self.window for p in pieces)
-        if small:
-            out += chain.from_iterable(map(self.known.__getitem__, pieces))
-        else:
-            for piece in pieces:
-                out += self.known[piece] if len(piece) <= self.window else self._long(piece)
+        for piece in pieces:
+            out += self._piece(piece)
         if not last and len(self.text) > self.window:
-            out += self._begin()
+            self._begin(out)
         return out
 
-    def _long(self, piece: str) -> list[int]:
-        """A whole long piece, a window at a time."""
-        out, rest = [], b""
+    def encode_many(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of whole texts (null: none) and offsets into them; each distinct piece is merged once."""
+        pieces: list[str] = []
+        ends = [0]
+        for text in texts:
+            if text:
+                parts = self.special.split(text) if self.special else [text]
+                for i, part in enumerate(parts):
+                    pieces += [part] if i % 2 else (self.far if _FAR.search(part) else self.near).findall(part)
+            ends.append(len(pieces))
+        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+        distinct = coded.dictionary
+        flat, place = self._distinct(distinct)
+        index = np.asarray(coded.indices).astype(np.int64)
+        counts = np.diff(place)[index]
+        upto = np.concatenate([[0], np.cumsum(counts)])
+        ids = flat[np.repeat(place[index] - upto[:-1], counts) + np.arange(upto[-1])]
+        return ids, upto[ends]
+
+    def _distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        offsets = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1, pieces.offset * 8) if len(pieces) else np.zeros(1, np.int64)
+        odd = [i for i in np.flatnonzero(np.diff(offsets) > self.window).tolist()]
+        odd += [i for s in self.specials if (i := pieces.index(s).as_py()) >= 0]
+        if not odd:
+            data = np.frombuffer(pieces.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] else np.zeros(0, np.uint8)
+            return merge_many(self.vocabulary, data, offsets - offsets[0])
+        blank = np.ones(len(pieces), bool)
+        blank[odd] = False
+        usual = pc.if_else(pa.array(blank), pieces, pa.scalar("", pieces.type))
+        flat, place = self._distinct(usual)
+        parts = np.split(flat, place[1:-1])
+        for i in odd:
+            piece = pieces[i].as_py()
+            special = self.vocabulary.special.get(piece)
+            own = self._piece(piece) if special is None else _packed([special])
+            parts[i] = np.frombuffer(own, np.int32)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def _piece(self, piece: str) -> bytes:
+        """A whole piece; a long one goes through a window at a time."""
+        if len(piece) <= self.window:
+            return _packed(merge(self.vocabulary, piece.encode()))
+        out, rest = b"", b""
         for at in range(0, len(piece), self.window):
             ids, rest = self._settled(rest + piece[at : at + self.window].encode(), at + self.window >= len(piece))
             out += ids
         return out
 
-    def _settled(self, data: bytes, last: bool) -> tuple[list[int], bytes]:
+    def _settled(self, data: bytes, last: bool) -> tuple[bytes, bytes]:
         ids = merge(self.vocabulary, data)
         if last:
-            return ids, b""
-        end, n = 0, 0
+            return _packed(ids), b""
+        end = 0
         for n, i in enumerate(ids):
             size = len(self.vocabulary.bytes[i])
             if end + size > len(data) - self.vocabulary.lookahead:
-                return ids[:n], data[end:]
+                return _packed(ids[:n]), data[end:]
             end += size
-        return ids, b""
+        return _packed(ids), b""
 
-    def _begin(self) -> list[int]:
+    def _begin(self, out: bytearray) -> None:
         """The held text is longer than the window: emit what is settled of its first piece."""
-        piece = self.split.match(self.text).group()
-        if len(piece) <= self.window:
-            return []
-        kinds = _KIND.match(piece[-1 if piece[0] == " " else 0]).groups()
-        self.kind = ("letter", "number", "space", "other")[next(i for i, g in enumerate(kinds) if g is not None)]
-        self.open = b""
-        return self._go_on(False)
-
-    def _go_on(self, last: bool) -> list[int]:
-        head = self.text[:1]
-        n = _ON[self.kind].match(self.text, 1 if not self.open and head == " " and self.kind != "space" else 0).end()
+        piece = self.far.match(self.text).group()
+        if len(piece) > self.window:
+            kinds = _KIND.match(piece[-1 if piece[0] == " " else 0]).groups()
+            self.kind = ("letter", "number", "space", "other")[next(i for i, g in enumerate(kinds) if g is not None)]
+            self.open = b""
+            self._go_on(out, False)
+
+    def _go_on(self, out: bytearray, last: bool) -> None:
+        skip = not self.open and self.kind != "space" and self.text[:1] == " "
+        n = _ON[self.kind].match(self.text, int(skip)).end()
         ended = last or n < len(self.text)
-        if self.kind == "space":
+        if self.kind == "space" and not (last and n == len(self.text)):
             # The last white space before other text stands alone or goes to the next word.
-            n = n - 1 if not last or n < len(self.text) else n
-            n = max(n, 0)
+            n = max(n - 1, 0)
         self.open, self.text = self.open + self.text[:n].encode(), self.text[n:]
         ids, self.open = self._settled(self.open, ended)
+        out += ids
         if ended:
             self.kind = ""
-        return ids
 
 
 class Decoder:
@@ -312,13 +448,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", car
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(_vocabulary(shared))
         for batch in words.slices(batches, "_text"):
-            found, ends = array("i"), [0]
-            for one in batch.column("_text").to_pylist():
-                if one:
-                    found.extend(encoder.encode(one))
-                ends.append(len(found))
-            flat = pa.array(np.frombuffer(found, np.int32) if found else np.zeros(0, np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+            found, ends = encoder.encode_many(batch.column("_text").to_pylist())
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], names=[*names, ids])
 
     packed = docs.select(*(docs[f"`{c}`"] for c in names), docs[f"`{text}`"].alias("_text"))
