@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopscope.llm import bpe, near_copies, repeats, rules, secrets
+from hopscope.llm import bpe, decontaminate, near_copies, repeats, rules, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,17 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("contaminated"),
+        F.size("leaks").cast("long").alias("n_items"),
+        F.transform("leaks", lambda x: x["item"].cast("long")).alias("item_ids"),
+        F.coalesce(F.array_max(F.transform("leaks", lambda x: x["n_equal"])), F.lit(0)).alias("most_equal_words"),
+    )
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
@@ -67,6 +78,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_secret_scans": op2_secret_scans,
     "op3_quality_rules": op3_quality_rules,
+    "op6_spaced_seeds": op6_spaced_seeds,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
