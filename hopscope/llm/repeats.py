@@ -167,7 +167,9 @@ def find_repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     whole = whole.select("id", "h", F.col("first").alias("lo"), (F.col("last") + length).alias("hi"))
 
     # Anchors with several contexts: compare the windows of one occurrence of each.
+    # Stored, so that the join below deals both sides anew and can split a hot anchor.
     several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    several = stage(several, "several")
     open_ = contexts.join(several, "anchor", "left_semi").select("spot.id", "spot.h", "anchor", "spot.first", "spot.last")
     spots = stage(
         open_.groupBy("id", "h").agg(F.collect_list(F.struct("anchor", "first", "last")).alias("spots")), "spots"
