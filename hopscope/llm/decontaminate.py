@@ -25,8 +25,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,18 +39,6 @@ SHARE = 0.8
 FILTER_BITS = 22
 AROUND = 24  # words kept on both sides of a hit; ``span`` is at most this
 _SLOT = np.uint64(64 - FILTER_BITS)
-_EDGE = " \t.,;:!?\"'()[]{}«»“”„¿¡*#$%&|<>-_"
-
-
-def token_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words in lower case without punctuation at the ends, and offsets."""
-    found, offsets = words.split(texts)
-    if not len(found):
-        return np.zeros(0, np.uint64), offsets
-    plain = pc.utf8_trim(pc.utf8_lower(found.dictionary), _EDGE)
-    each = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.raw(plain)), np.uint64, len(plain))
-    # Words that are punctuation only keep their place as one empty word.
-    return each[np.asarray(found.indices)], offsets
 
 
 def seed_hashes(tokens: np.ndarray, mask: int) -> np.ndarray:
@@ -88,7 +74,7 @@ def _places(tokens: np.ndarray, offsets: np.ndarray, mask: int, there: np.ndarra
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each mask and start in an item, with the words around it and the length of the item."""
     for batch in words.slices(batches, "text"):
-        tokens, offsets = token_hashes(batch.column("text"))
+        tokens, offsets = words.plain_hashes(batch.column("text"))
         for mask, shape in enumerate(MASKS):
             hashes, at, row = _places(tokens, offsets, mask, None)
             yield pa.RecordBatch.from_arrays(
@@ -126,7 +112,7 @@ def _hits(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         there = shared.value
         for batch in words.slices(batches, "text"):
-            tokens, offsets = token_hashes(batch.column("text"))
+            tokens, offsets = words.plain_hashes(batch.column("text"))
             for mask, shape in enumerate(MASKS):
                 hashes, at, row = _places(tokens, offsets, mask, there)
                 if not len(at):

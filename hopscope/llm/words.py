@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 4 << 20
+_EDGE = " \t.,;:!?\"'()[]{}«»“”„¿¡*#$%&|<>-_"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,6 +57,23 @@ def hashed(texts: pa.Array, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     return each[np.asarray(words.indices)], offsets
 
 
+def plain(words: pa.Array) -> pa.Array:
+    """Lower case without punctuation at the ends; words of punctuation alone become empty."""
+    return pc.utf8_trim(pc.utf8_lower(words), _EDGE)
+
+
+def plain_hashes(texts: pa.Array, first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the plain words, or of their ``first`` characters, and offsets of each text."""
+    found, offsets = split(texts)
+    if not len(found):
+        return np.zeros(0, np.uint64), offsets
+    form = plain(found.dictionary)
+    if first is not None:
+        form = pc.utf8_slice_codeunits(form, 0, first)
+    each = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in raw(form)), np.uint64, len(form))
+    return each[np.asarray(found.indices)], offsets
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finish a hash so that all its bits depend on all bits of ``x``."""
     x = x ^ (x >> np.uint64(32))
