@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopscope.llm import bpe, decontaminate, labels, near_copies, repeats, rules, secrets, toxicity
+from hopscope.llm import bpe, decontaminate, labels, near_copies, preferences, repeats, rules, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,13 @@ def op4_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", labels.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op5_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranking = preferences.fit(docs, table(spark, sf_dir, "labels"))
+    scored = preferences.score(docs, ranking)
+    return scored.select("doc_id", labels.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op6_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = decontaminate.mark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return marked.select(
@@ -86,6 +93,7 @@ QUERIES = {
     "op2_secret_scans": op2_secret_scans,
     "op3_quality_rules": op3_quality_rules,
     "op4_kneser_ney_toxicity": op4_kneser_ney_toxicity,
+    "op5_bradley_terry_quality": op5_bradley_terry_quality,
     "op6_spaced_seeds": op6_spaced_seeds,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_substring_dedup": op9_substring_dedup,
