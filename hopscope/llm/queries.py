@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopscope.llm import bpe, decontaminate, labels, near_copies, preferences, repeats, rules, secrets, toxicity
+from hopscope.llm import bpe, decontaminate, labels, near_copies, preferences, repeats, rules, secrets, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_balanced_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign_by_text(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return placed.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op2_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"), carry=["doc_id"])
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
@@ -90,6 +103,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_balanced_sharding": op1_balanced_sharding,
     "op2_secret_scans": op2_secret_scans,
     "op3_quality_rules": op3_quality_rules,
     "op4_kneser_ney_toxicity": op4_kneser_ney_toxicity,
