@@ -20,7 +20,7 @@ import json
 import re
 from array import array
 from bisect import bisect_left
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
@@ -64,6 +64,8 @@ _ON = {
     "space": regex.compile(r"\p{White_Space}*"),
 }
 _KIND = regex.compile(r"(\p{L})|(\p{N})|(\p{White_Space})|(.)", regex.S)
+_DECODE_ROWS = 256
+_ENCODE_BYTES = 2 << 20
 _HOLD = 3  # characters that can still change how the text before them is split
 SHORT = 64
 _NEVER = np.int32((1 << 31) - 1)
@@ -408,19 +410,45 @@ class Decoder:
     """``feed`` ids in any portions, then ``finish``; text comes out as soon as its characters are whole."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.bytes = vocabulary.bytes
+        most = max(vocabulary.bytes) + 1
+        tokens = [vocabulary.bytes.get(i, b"") for i in range(most)]
+        self.lens = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.lens) - self.lens
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def feed(self, ids: Iterable[int]) -> str:
-        return self.state.decode(b"".join(map(self.bytes.__getitem__, ids)))
+    def raw(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """Bytes of the ids, and where each begins, with the end."""
+        lens = self.lens[ids]
+        upto = np.concatenate([[0], np.cumsum(lens)])
+        return self.data[np.repeat(self.starts[ids] - upto[:-1], lens) + np.arange(upto[-1])].tobytes(), upto
+
+    def feed(self, ids) -> str:
+        return self.state.decode(self.raw(np.asarray(ids, np.int64))[0])
 
     def finish(self) -> str:
         text = self.state.decode(b"", True)
         self.state.reset()
         return text
 
-    def decode(self, ids: Iterable[int]) -> str:
-        return self.feed(ids) + self.finish()
+    def decode(self, ids) -> str:
+        return self.decode_many(np.asarray(ids, np.int64), np.array([0, len(ids)]))[0]
+
+    def decode_many(self, ids: np.ndarray, offsets: np.ndarray, portion: int = 1 << 18) -> list[str]:
+        """Texts of runs of ids, fed in portions of bounded size."""
+        out, parts, row = [], [], 0
+        for at in range(0, max(1, len(ids)), portion):
+            end = min(at + portion, len(ids))
+            data, upto = self.raw(ids[at:end])
+            while row < len(offsets) - 1:
+                lo, hi = max(offsets[row], at) - at, min(offsets[row + 1], end) - at
+                parts.append(self.state.decode(data[upto[lo] : upto[hi]]))
+                if offsets[row + 1] > end:
+                    break
+                parts.append(self.finish())
+                out.append("".join(parts))
+                parts, row = [], row + 1
+        return out
 
 
 _LOADED: dict[int, Vocabulary] = {}
@@ -447,7 +475,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", car
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(_vocabulary(shared))
-        for batch in words.slices(batches, "_text"):
+        for batch in words.slices(batches, "_text", _ENCODE_BYTES):
             found, ends = encoder.encode_many(batch.column("_text").to_pylist())
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], names=[*names, ids])
@@ -464,10 +492,13 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(_vocabulary(shared))
-        for batch in batches:
-            lists = batch.column(ids)
-            flat, ends = lists.flatten().to_pylist(), np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0))])
-            made = [decoder.decode(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(made, pa.string())], names=[*names, text])
+        for whole in batches:
+            for at in range(0, whole.num_rows, _DECODE_ROWS):
+                batch = whole.slice(at, _DECODE_ROWS)
+                lists = batch.column(ids)
+                ends = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(lists.value_lengths(), 0)))])
+                made = decoder.decode_many(np.asarray(lists.flatten()).astype(np.int64), ends)
+                columns = [*(batch.column(c) for c in names), pa.array(made, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, text])
 
     return rows.select(*names, ids).mapInArrow(run, rows.select(*names).schema.add(text, StringType()))

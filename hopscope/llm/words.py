@@ -18,7 +18,7 @@ _EDGE = " \t.,;:!?\"'()[]{}«»“”„¿¡*#$%&|<>-_"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that a slice holds one text or a few megabytes, whatever the batch size."""
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64)
@@ -26,7 +26,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBa
         at = 0
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
-            upto = max(at + 1, int(np.searchsorted(ends, done + SLICE_BYTES, side="right")))
+            upto = max(at + 1, int(np.searchsorted(ends, done + most, side="right")))
             yield batch.slice(at, upto - at)
             at = upto
 
