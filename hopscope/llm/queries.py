@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopscope.llm import bpe, decontaminate, labels, near_copies, preferences, repeats, rules, secrets, sharding, toxicity
+from hopscope.llm import bpe, decontaminate, labels, language, near_copies, preferences, repeats, rules, secrets, sharding, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,27 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op8_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents (their source is the host) and all pages (with markup and address)."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language.fit(docs)
+    none = F.lit(None)
+    rows = docs.select(
+        F.struct(F.col("doc_id").cast("long").alias("doc_id"), none.cast("long").alias("page_id")).alias("ref"),
+        "text",
+        none.cast("string").alias("declared"),
+        F.col("source").alias("host"),
+    ).unionByName(
+        pages.select(
+            F.struct(none.cast("long").alias("doc_id"), F.col("page_id").cast("long").alias("page_id")).alias("ref"),
+            language.visible_text(F.col("html")).alias("text"),
+            language.declared_of(F.col("html")).alias("declared"),
+            language.host_of(F.col("url")).alias("host"),
+        )
+    )
+    return language.identify(rows, model).select("ref.*", "lang", "probability", "text_lang", "declared")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -110,6 +131,7 @@ QUERIES = {
     "op5_bradley_terry_quality": op5_bradley_terry_quality,
     "op6_spaced_seeds": op6_spaced_seeds,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_language_fusion": op8_language_fusion,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
