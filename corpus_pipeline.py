@@ -1,32 +1,60 @@
-"""Corpus pipeline: quality rules, near duplicates, benchmark passages, secrets, token ids.
+"""Corpus pipeline: quality rules, near copies, benchmark passages, secrets, token ids.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is
-written as Parquet and read again as the next stage's ``docs``.
+written as Parquet and read again as the next one's ``docs``. All but the last
+return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hopscope.llm import rules, secrets
+from hopscope.llm import bpe, decontaminate, near_copies, rules, secrets
+from hopscope.llm.queries import tokenizer_path
 from hopscope.sources.staging import stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the rules, or whose host does, go."""
     return rules.keep_good(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the document of the least id stays."""
+    return near_copies.keep_one(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
     return secrets.redact(docs)
 
 
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in place of the text, with a digest of the text that the ids decode to."""
+    path = tokenizer_path()
+    encoded = bpe.encode(docs, path, carry=["doc_id", "lang", "source"])
+    encoded = encoded.withColumn("n_tokens", F.size("ids").cast("long"))
+    return bpe.decode(encoded, path, keep_ids=True).withColumn("decoded", F.sha2("decoded", 256)).withColumnRenamed(
+        "decoded", "decoded_sha256"
+    )
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("benchmark_decontamination", benchmark_decontamination),
     ("secret_scans", secret_scans),
+    ("bpe_encoding", bpe_encoding),
 ]
 
-# Token ids and near-duplicate classes can't be told in SQL; the tests compare
-# every stage with a brute-force version.
+# Near-copy classes and token ids can't be told in SQL; the tests hold every
+# stage against a brute-force version.
 ORACLE_SQL = None
 
 

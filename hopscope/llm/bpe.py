@@ -485,10 +485,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", car
     return packed.mapInArrow(run, schema)
 
 
-def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``rows`` with the ids replaced by the text they stand for."""
+def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded", keep_ids: bool = False) -> DataFrame:
+    """``rows`` with the text that the ids stand for, in their place or, with ``keep_ids``, beside them."""
     shared = _share(rows.sparkSession, path)
-    names = [c for c in rows.columns if c not in (ids, text)]
+    names = [c for c in rows.columns if c != text and (keep_ids or c != ids)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(_vocabulary(shared))
@@ -501,4 +501,4 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
                 columns = [*(batch.column(c) for c in names), pa.array(made, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, text])
 
-    return rows.select(*names, ids).mapInArrow(run, rows.select(*names).schema.add(text, StringType()))
+    return rows.select(*dict.fromkeys([*names, ids])).mapInArrow(run, rows.select(*names).schema.add(text, StringType()))

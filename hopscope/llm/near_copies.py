@@ -207,7 +207,33 @@ def _verify(threshold: float):
     return run
 
 
-def near_copies(
+def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """(``key``, class_id, n_copies, n_links, n_linked_texts), one row for each row of ``docs``; see ``classes``."""
+    return classes(docs, text, key, **options).drop("id", "h").withColumnRenamed("key", key)
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """One document of each class, the one of the least key, with its own columns only."""
+    found = stage(classes(docs, text, key, **options).select("key", "id", "h", "class_id"), "classes")
+    # Rows without a text are not copies of anything, whatever their keys.
+    one = found.filter("class_id is not null").groupBy("class_id").agg(F.min(F.struct("key", "id", "h")).alias("one"))
+    plain = found.filter("class_id is null").select("id", "h")
+    chosen = stage(one.select("one.id", "one.h").unionByName(plain).distinct(), "chosen")
+    packed = docs.select(
+        F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("doc"),
+        F.coalesce(docs[f"`{key}`"].cast("string"), F.lit("\0")).alias("id"),
+        F.xxhash64(docs[f"`{text}`"]).alias("h"),
+    )
+    # Rows that repeat key and text can't be told apart: one of them stays.
+    twice = stage(found.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", "h"), "twice")
+    if twice.isEmpty():
+        return packed.join(chosen, ["id", "h"], "left_semi").select("doc.*")
+    single = packed.join(chosen.join(twice, ["id", "h"], "left_anti"), ["id", "h"], "left_semi").select("doc")
+    repeated = packed.join(chosen.join(twice, ["id", "h"], "left_semi"), ["id", "h"], "left_semi")
+    return single.unionByName(repeated.groupBy("id", "h").agg(F.first("doc").alias("doc")).select("doc")).select("doc.*")
+
+
+def classes(
     docs: DataFrame,
     text: str = "text",
     key: str = "doc_id",
@@ -215,7 +241,7 @@ def near_copies(
     recall: float = RECALL,
     size: int = SHINGLE,
 ) -> DataFrame:
-    """(``key``, class_id, n_copies, n_links, n_linked_texts), one row for each row of ``docs``.
+    """(key, id, h, class_id, n_copies, n_links, n_linked_texts), one row for each row of ``docs`` (``rows.keyed``).
 
     ``class_id``: least key of all rows that links and equal sets connect;
     ``n_copies``: other rows with an equal set; ``n_links``: other rows at or
@@ -293,9 +319,9 @@ def near_copies(
         (F.coalesce("rows", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("texts", F.lit(0)).alias("n_linked_texts"),
     )
-    out = signed.select("key", "vertex").join(known, "vertex").drop("vertex")
+    out = signed.select("key", "id", "h", "vertex").join(known, "vertex").drop("vertex")
     none = texts.filter("text is null").select(
-        "key", F.col("key").alias("class_id"), *(F.lit(0).cast("long").alias(c) for c in ("n_copies", "n_links", "n_linked_texts"))
+        "key", "id", "h", F.col("key").alias("class_id"), *(F.lit(0).cast("long").alias(c) for c in ("n_copies", "n_links", "n_linked_texts"))
     )
-    return out.unionByName(none).withColumnRenamed("key", key)
+    return out.unionByName(none)
 
