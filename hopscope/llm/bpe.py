@@ -28,7 +28,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from hopscope.llm import words
 
@@ -475,14 +476,17 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", car
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(_vocabulary(shared))
-        for batch in words.slices(batches, "_text", _ENCODE_BYTES):
-            found, ends = encoder.encode_many(batch.column("_text").to_pylist())
+        for batch in words.slices(batches, "text", _ENCODE_BYTES):
+            found, ends = encoder.encode_many(batch.column("text").to_pylist())
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], names=[*names, ids])
-
-    packed = docs.select(*(docs[f"`{c}`"] for c in names), docs[f"`{text}`"].alias("_text"))
-    schema = docs.select(*(docs[f"`{c}`"] for c in names)).schema.add(ids, ArrayType(IntegerType()))
-    return packed.mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["row", "made"])
+
+    # The carried columns travel in a struct, so they may have any name.
+    row = F.struct(*(docs[f"`{c}`"] for c in names)) if names else F.struct(F.lit(1).alias("none"))
+    packed = docs.select(row.alias("row"), docs[f"`{text}`"].alias("text"))
+    schema = StructType([*packed.select("row").schema.fields]).add("made", ArrayType(IntegerType()))
+    made = packed.mapInArrow(run, schema)
+    return made.select(*(F.col("row")[c].alias(c) for c in names), F.col("made").alias(ids))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded", keep_ids: bool = False) -> DataFrame:

@@ -5,10 +5,10 @@ shingle). Texts with equal sets are one vertex. Each vertex has ``bands`` hashes
 of ``rows`` minima, chosen for the target recall at the threshold. Vertices that
 share a band hash are gathered into families (components over one star per
 band bucket, so a hot bucket gives as many rows as it has members). The members
-of a family are dealt to blocks of bounded size, and within each pair of blocks
-every pair that shares a band hash is verified on the full shingle sets. What
-leaves a block are sums of links per vertex and a spanning forest, never the
-pairs.
+of a family are dealt to blocks of bounded size, and each pair of blocks verifies
+its members on the full shingle sets, by a product of matrices. What leaves a
+pair of blocks are sums of links per vertex and a spanning forest, never the
+pairs. So a link is lost only if the bands miss it and every path around it.
 
 Defined cases: a null text is alone in its class; blank texts have the empty
 set and are copies of each other; repeated rows are exact copies; an empty table
@@ -35,6 +35,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 BLOCK = 256
+_FEW_PAIRS = 32  # compared one by one, more as matrices
 _SEED = 20240229
 
 
@@ -132,7 +133,7 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def links_of_blocks(ids, weights, sets, bands, side, threshold):
+def links_of_blocks(ids, weights, sets, side, threshold):
     """Links among one family's rows: those of the first block with those of the second, or within one block.
 
     Yields (vertex, other or None, linked rows, linked sets): sums for each vertex, and the edges of a spanning forest.
@@ -141,17 +142,14 @@ def links_of_blocks(ids, weights, sets, bands, side, threshold):
     two = np.flatnonzero(side == 1)
     inner = not len(two)
     if inner:
+        a, b = np.triu_indices(len(one), 1)
         two = one
-    meet = np.zeros((len(one), len(two)), bool)
-    for k in range(bands.shape[1]):
-        meet |= bands[one, k][:, None] == bands[two, k][None, :]
-    if inner:
-        meet &= np.triu(np.ones_like(meet), 1)
-    a, b = np.nonzero(meet)
+    else:
+        a, b = (x.ravel() for x in np.indices((len(one), len(two))))
     if not len(a):
         return
     size = np.array([len(x) for x in sets], np.float64)
-    if len(a) * 8 < len(one) * len(two):
+    if len(a) <= _FEW_PAIRS:
         common = np.array([len(np.intersect1d(sets[one[i]], sets[two[j]], assume_unique=True)) for i, j in zip(a, b, strict=True)])
     else:
         common = overlaps([sets[i] for i in one], [sets[i] for i in two])[a, b]
@@ -186,18 +184,15 @@ def _verify(threshold: float):
     def run(group: pa.Table) -> pa.Table:
         out = []
         family = np.array(group.column("family").to_pylist(), object)
-        order = np.argsort(np.array([f for f in family], dtype="S16"), kind="stable")
+        order = np.array(sorted(range(len(family)), key=family.__getitem__), np.int64)
         ids = group.column("vertex").to_pylist()
         weights = np.asarray(group.column("copies"))
         side = np.asarray(group.column("side"))
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles").combine_chunks()] if group.num_rows else []
-        bands = np.asarray(group.column("bands").combine_chunks().flatten()).reshape(group.num_rows, -1)
         cuts = np.flatnonzero(np.concatenate([[True], family[order][1:] != family[order][:-1], [True]]))
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             at = order[lo:hi]
-            out += links_of_blocks(
-                [ids[i] for i in at], weights[at], [sets[i] for i in at], bands[at], side[at], threshold
-            )
+            out += links_of_blocks([ids[i] for i in at], weights[at], [sets[i] for i in at], side[at], threshold)
         columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
         kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
         return pa.Table.from_arrays(
@@ -216,7 +211,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **options
     """One document of each class, the one of the least key, with its own columns only."""
     found = stage(classes(docs, text, key, **options).select("key", "id", "h", "class_id"), "classes")
     # Rows without a text are not copies of anything, whatever their keys.
-    one = found.filter("class_id is not null").groupBy("class_id").agg(F.min(F.struct("key", "id", "h")).alias("one"))
+    one = found.filter("class_id is not null").groupBy("class_id").agg(F.min(F.struct(F.col("key").isNull(), "key", "id", "h")).alias("one"))
     plain = found.filter("class_id is null").select("id", "h")
     chosen = stage(one.select("one.id", "one.h").unionByName(plain).distinct(), "chosen")
     packed = docs.select(
@@ -287,7 +282,7 @@ def classes(
         "vertex", F.col("component").alias("family"), blocks.alias("blocks"), F.pmod(F.xxhash64("vertex"), blocks).cast("int").alias("block")
     )
     dealt = stage(
-        dealt.join(vertices, "vertex").select("vertex", "family", "blocks", "block", "copies", "holder", "bands"), "dealt"
+        dealt.join(vertices, "vertex").select("vertex", "family", "blocks", "block", "copies", "holder"), "dealt"
     )
     # The full set of a vertex comes from the text of one row that holds it.
     holders = dealt.select("holder.id", "holder.h", "vertex")
@@ -300,7 +295,7 @@ def classes(
     bins = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(dealt.count() // (4 * BLOCK) + 1))).otherwise(F.xxhash64("family"))
     placed = placed.select(
         bins.alias("bin"), F.col("blocks").alias("of"), F.col("pair.i").alias("i"), F.col("pair.j").alias("j"),
-        (F.col("block") != F.col("pair.i")).cast("int").alias("side"), "family", "vertex", "copies", "bands", "shingles",
+        (F.col("block") != F.col("pair.i")).cast("int").alias("side"), "family", "vertex", "copies", "shingles",
     )
     found = stage(
         placed.groupBy("of", "bin", "i", "j").applyInArrow(_verify(threshold), "vertex binary, other binary, rows bigint, texts bigint"),
