@@ -158,8 +158,11 @@ def fill(rows: DataFrame, placed: DataFrame, total: int, shards: int = SHARDS) -
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
     held = {r.shard: r.n for r in placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     quota = F.get(F.array(*(F.lit(q) for q in quotas)), F.col("shard"))
-    # In key order, so that those past the quota are whole keys where possible.
-    stay = stage(number_rows(placed, "shard", "key", total).filter(F.col("number") < quota).select("row_key", "shard", "number"), "stay")
+    # In key order, so that those past the quota are whole keys where possible; rows of heavy keys one by one.
+    heavy = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * _HEAVY > total).select("key")
+    heavy = [r.key for r in heavy.collect()]
+    order = F.when(F.col("key").isin(heavy), F.col("row_key")).otherwise(F.col("key")) if heavy else F.col("key")
+    stay = stage(number_rows(placed.withColumn("order", order), "shard", "order", total).filter(F.col("number") < quota).select("row_key", "shard", "number"), "stay")
     ends, end = [], 0
     for s in range(shards):
         end += max(0, quotas[s] - held.get(s, 0))
