@@ -167,10 +167,19 @@ ORACLES["empty_episodes"] = f"""
   cast(null as varchar) as EPISODE_LAST_TX_TIMESTAMP, cast(null as bigint) as EPISODE_DURATION_SEC
 from canon"""
 
-ORACLES["receipt_row_numbers"] = """
-select row_number() over (order by event_id) - 1 as _idx, event_id, user_id from events"""
-
-ORACLES["limit_rows"] = f"{ORACLES['receipt_row_numbers']} qualify _idx < 100"
+_PLACED = f"""
+{_with(_BASE)} select receipt_id, row_number() over (partition by receipt_id % 2 order by receipt_id) - 1 as _idx
+from receipts"""
+ORACLES["receipt_row_numbers"] = _PLACED
+ORACLES["limit_rows"] = f"{_PLACED} qualify _idx < 100"
+ORACLES["limit_files"] = f"select * from ({_PLACED}) where receipt_id % 2 = 0"
+ORACLES["read_receipts"] = ORACLES["canonical_receipts"]
+ORACLES["read_transactions"] = f"""
+{_with(_BASE)} select chain, transaction_hash, from_address, to_address, cast(value as varchar) as value,
+  {_METHOD} as method_id, {_iso('block_timestamp')} as block_timestamp from transactions"""
+ORACLES["read_decoded_events"] = f"""
+{_with(_BASE)} select chain, transaction_hash as tx_hash, cast(log_index as bigint) as log_index, address as contract,
+  event_signature, {_iso('block_timestamp')} as block_timestamp from decoded_events"""
 
 ORACLES["project_tolerant"] = f"""
 {_with(_BASE)} select transaction_hash, block_number, cast(null as varchar) as gas_price from transactions"""
@@ -415,8 +424,16 @@ ORACLES["time_index_summary"] = f"""
   count(*) - count(lo) as n_errors
 from (select dataset, lo from idx union all select 'nation', null) group by dataset"""
 
-ORACLES["read_for_range"] = """
-select event_id, user_id, event_type from events where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-11'"""
+_LAKE_INDEX = f"""
+{_with(_BASE)} select chain, dataset, {_iso('min(ts)')} as min_ts, {_iso('max(ts)')} as max_ts
+from (select chain, 'transactions' as dataset, block_timestamp as ts from transactions
+  union all select chain, 'decoded_events', block_timestamp from decoded_events) group by chain, dataset"""
+ORACLES["read_time_index"] = _LAKE_INDEX
+ORACLES["build_time_index"] = f"select *, cast(0 as bigint) as n_errors from ({_LAKE_INDEX})"
+
+ORACLES["read_for_range"] = f"""
+{_with(_BASE)} select chain, transaction_hash, to_address from transactions
+where chain = 'eth' and block_timestamp >= timestamp '2024-01-10' and block_timestamp < timestamp '2024-01-11'"""
 
 # Schema profile
 
@@ -461,18 +478,19 @@ union all select 'none', null, null, null, 'no parquet files'"""
 
 # Views
 
-_VIEW = """
-shown as (
-  select *, row_number() over (order by receipt_id) - 1 as id from episodes where n > 0
-  qualify id < 2000)"""
+_VIEW_ALL = """
+shown as (select *, row_number() over (order by receipt_id) - 1 as id from episodes where n > 0)"""
+_VIEW = _VIEW_ALL.replace("n > 0)", "n > 0 qualify id < 2000)")
 
 ORACLES["episode_view"] = f"""
 {_with(*_both(), _EPISODES, _VIEW)}
 select id, n as tx_count, first_hash as first_tx, last_hash as last_tx, last_iso as last_ts, duration as duration_sec,
   recv as receiver, raw_chain as dst_chain, cast(ts as varchar) as receipt_ts from shown"""
 
+ORACLES["episode_view_all"] = ORACLES["episode_view"].replace(_VIEW, _VIEW_ALL)
+
 ORACLES["episode_event_preview"] = f"""
-{_with(*_both(), _EPISODES, _VIEW, _EVENT_TEXT)}
+{_with(*_both(), _EPISODES, _VIEW_ALL, _EVENT_TEXT)}
 select v.id, cast(a.pos as integer) as tx_pos, a.iso as ts, a.transaction_hash as tx_hash, a.to_address as "to",
   cast(a.value as varchar) as value, coalesce(a.method_id, '') as method_id,
   cast(count(e.log_index) as integer) as events_count,
@@ -481,3 +499,11 @@ select v.id, cast(a.pos as integer) as tx_pos, a.iso as ts, a.transaction_hash a
 from shown v join acts a using (receipt_id)
   left join event_rows e on e.chain = a.chain and e.transaction_hash = a.transaction_hash
 group by v.id, a.pos, a.iso, a.transaction_hash, a.to_address, a.value, a.method_id"""
+
+# Sinks
+
+ORACLES["episodes_indexed"] = ORACLES["episodes"]
+ORACLES["episodes_stored"] = f"select * exclude (DESTINATION_CHAIN, actions_text) from ({ORACLES['episodes']})"
+ORACLES["action_trace_stored"] = f"""
+select receipt_id, tx_pos, chain, phase, tx_hash, block_timestamp, from_address, value, n_events
+from ({ORACLES['action_trace']})"""

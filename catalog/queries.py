@@ -146,21 +146,46 @@ def empty_episodes(spark, d):
     return hs.empty_episodes(hs.canonical_receipts(bare)).select("receipt_id", "label", *_EPISODE_SUMMARY)
 
 
-def _numbered(spark, d) -> DataFrame:
-    df = spark.read.parquet(f"{d}/events.parquet")
-    return df.select(F.col("_metadata.row_index").alias("_idx"), "event_id", "user_id")
+# The stored lake, through the readers and writers
+
+
+@query
+def read_receipts(spark, d):
+    rows = hs.read_receipts(spark, f"{fx.write_lake(spark, d)}/receipts")
+    return rows.select("receipt_id", "_recv", "_chain", _iso("_ts"), "_src_chain", "_src_addr", "_src_tx_hash")
 
 
 @query
 def receipt_row_numbers(spark, d):
-    """Every row with its position in the file."""
-    return _numbered(spark, d)
+    """Every receipt with its position in its file."""
+    return hs.read_receipts(spark, f"{fx.write_lake(spark, d)}/receipts").select("receipt_id", "_idx")
 
 
 @query
 def limit_rows(spark, d):
-    """The first rows of each file, the feature behind ``limit_rows``."""
-    return _numbered(spark, d).filter("_idx < 100")
+    """The first rows of each file."""
+    return hs.read_receipts(spark, f"{fx.write_lake(spark, d)}/receipts", limit_rows=100).select("receipt_id", "_idx")
+
+
+@query
+def limit_files(spark, d):
+    """The rows of the first file."""
+    return hs.read_receipts(spark, f"{fx.write_lake(spark, d)}/receipts", limit_files=1).select("receipt_id", "_idx")
+
+
+@query
+def read_transactions(spark, d):
+    """Values stored as double, decimal and text, times with and without a zone."""
+    rows = hs.normalize_transactions(hs.read_transactions(spark, fx.write_lake(spark, d), fx.CHAINS))
+    return rows.select(
+        "chain", "transaction_hash", "from_address", "to_address", "value", "method_id", _iso("block_timestamp")
+    )
+
+
+@query
+def read_decoded_events(spark, d):
+    rows = hs.normalize_events(hs.read_decoded_events(spark, fx.write_lake(spark, d), fx.CHAINS))
+    return rows.select("chain", "tx_hash", "log_index", "contract", "event_signature", _iso("block_timestamp"))
 
 
 @query
@@ -481,16 +506,31 @@ def time_index_summary(spark, d):
 
 
 @query
-def read_for_range(spark, d):
-    """Rows of one day, read through the index.
+def build_time_index(spark, d):
+    """Span of every chain and dataset by the index of a stored lake."""
+    index = hs.build_time_index(spark, fx.write_lake(spark, d), fx.CHAINS)
+    return index.groupBy("chain", "dataset").agg(
+        F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"), F.count_if(F.col("error").isNotNull()).alias("n_errors")
+    )
+
 
-    ``events.parquet`` stands for the one file of its dataset.
-    """
+@query
+def read_time_index(spark, d):
+    """The same from a stored index."""
+    root = fx.write_lake(spark, d)
+    hs.write_time_index(hs.build_time_index(spark, root, fx.CHAINS), f"{root}/index")
+    stored = hs.read_time_index(spark, f"{root}/index")
+    return stored.groupBy("chain", "dataset").agg(F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"))
+
+
+@query
+def read_for_range(spark, d):
+    """Rows of one day, read through the index."""
     start, end = _utc("2024-01-10 00:00:00"), _utc("2024-01-11 00:00:00")
-    index = _index(spark, d).filter("dataset = 'events'")
-    rows = hs.read_for_range(spark, index, d, "all", start, end, target="events")
-    ts = fn.to_utc_ts(F.col("ts"), rows.schema["ts"].dataType)
-    return rows.filter((ts >= start) & (ts < end)).select("event_id", "user_id", "event_type")
+    root = fx.write_lake(spark, d)
+    rows = hs.read_for_range(spark, hs.build_time_index(spark, root, fx.CHAINS), root, "eth", start, end)
+    ts = fn.to_utc_ts(F.col("block_timestamp"), rows.schema["block_timestamp"].dataType)
+    return rows.filter((ts >= start) & (ts < end)).select("chain", "transaction_hash", "to_address")
 
 
 # Schema profile of the stored tables
@@ -535,7 +575,58 @@ def episode_view(spark, d):
     return hs.episode_view(_episodes(spark, d), 2000, IDS).drop("actions")
 
 
+@query
+def episode_view_all(spark, d):
+    return hs.episode_view(_episodes(spark, d), 0, IDS).drop("actions")
+
+
 @query
 def episode_event_preview(spark, d):
     enriched = _episodes(spark, d, events=fx.decoded_events(spark, d))
-    return hs.episode_event_preview(hs.episode_view(enriched, 2000, IDS))
+    return hs.episode_event_preview(hs.episode_view(enriched, 0, IDS))
+
+
+# Sinks
+
+_STORED_SUMMARY = tuple(c for c in _EPISODE_SUMMARY if c != "EPISODE_ACTIONS_JSON")
+
+
+def _lake_episodes(spark, d, root: str, config) -> DataFrame:
+    receipts = hs.read_receipts(spark, f"{root}/receipts")
+    index = stage(hs.build_time_index(spark, root, fx.CHAINS), "index")
+    return hs.build_episodes_from_lake(spark, receipts, root, config, index, force_time_index=True)
+
+
+@query
+def episodes_indexed(spark, d):
+    """Episodes of a stored lake, reading the files that the index picks."""
+    config = hs.EpisodeConfig(id_cols=("_file", "_idx"), enrich_events=False)
+    return _lake_episodes(spark, d, fx.write_lake(spark, d), config).select(
+        "receipt_id",
+        "DESTINATION_CHAIN",
+        *_STORED_SUMMARY,
+        F.array_join(F.transform("actions", _action_text), ";").alias("actions_text"),
+    )
+
+
+@query
+def episodes_stored(spark, d):
+    """Episodes written and read again."""
+    root = fx.write_lake(spark, d)
+    hs.write_episodes(_lake_episodes(spark, d, root, hs.EpisodeConfig(enrich_events=False)), f"{root}/episodes")
+    stored = hs.read_episodes(spark, f"{root}/episodes", ("receipt_id", *_STORED_SUMMARY))
+    return stored.select("receipt_id", *_STORED_SUMMARY)
+
+
+@query
+def action_trace_stored(spark, d):
+    """Trace of stored episodes, written and read again, with the default key."""
+    root = fx.write_lake(spark, d)
+    hs.write_episodes(_lake_episodes(spark, d, root, hs.EpisodeConfig(enrich_events=False)), f"{root}/episodes")
+    columns = ("EPISODE_ACTIONS_JSON", "receipt_id", "SOURCE_ADDRESS", "DESTINATION_ADDRESS")
+    stored = hs.read_episodes(spark, f"{root}/episodes", columns)
+    config = hs.TraceConfig(focus_addr_cols=("SOURCE_ADDRESS", "DESTINATION_ADDRESS"))
+    hs.write_action_trace(hs.build_action_trace_from_lake(spark, stored, root, config), f"{root}/trace")
+    ids = stored.select("episode_file", "episode_row", "receipt_id")
+    trace = spark.read.parquet(f"{root}/trace").join(ids, ["episode_file", "episode_row"])
+    return trace.select("receipt_id", "tx_pos", "chain", "phase", "tx_hash", "block_timestamp", "from_address", "value", "n_events")

@@ -26,10 +26,12 @@ from .operators.transactions import normalize_transactions, scan_by_actors, scan
 from .operators.view import episode_event_preview, episode_view
 from .operators.window_join import cap_actions, first_n_join
 from .plans.episode_plan import build_episodes, episode_actions, episode_probes
+from .plans.lake_plan import build_action_trace_from_lake, build_episodes_from_lake
 from .plans.trace_plan import build_action_trace
 from .session import builder, tune
 from .sources.columns import detect_receipt_columns, project_tolerant, union_promoting
 from .sources.files import file_columns, list_parquet
+from .sources.staging import staging
 from .sources.tables import (
     read_decoded_events,
     read_episodes,

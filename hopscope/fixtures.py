@@ -6,12 +6,21 @@ from the given table, so the work grows with it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from .functions import to_utc_ts
+from .sources.staging import staging_root
 
 _CHAIN = "case {x} % 3 when 0 then 'eth' when 1 then 'arbitrum' else 'optimism' end"
 _ADDRESS = "concat('0x', lpad(cast({x} as varchar(40)), 40, '0'))"
 _HASH = "concat('0x', lpad(cast({x} as varchar(64)), 64, '0'))"
 
+_CROSS = "cross join (values (0),(1),(2),(3)) as k(k)"
+_CROSS_CUT = "where k.k <= e.event_id % 4"
+_IN_PLACE = "lateral view explode(sequence(0, cast(e.event_id % 4 as int))) k as k"
+
 
 def _chain(x: str) -> str:
     return _CHAIN.format(x=x)
@@ -25,7 +34,7 @@ def _hash(x: str) -> str:
     return _HASH.format(x=x)
 
 
-# These three run unchanged in Spark SQL and in DuckDB.
+# These three run in Spark SQL and in DuckDB.
 TRANSACTIONS_SQL = f"""
 select {_chain('user_id')} as chain,
   ts as block_timestamp,
@@ -71,6 +80,8 @@ where k.k <= e.event_id % 4
 
 def _over_events(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    # The same rows as the cross join with the constants, but made in place.
+    sql = sql.replace(_CROSS, _IN_PLACE).replace(_CROSS_CUT, "")
     escaped = sql.replace("{", "{{").replace("}", "}}")
     return spark.sql(escaped.replace("from events", "from {events}"), events=events)
 
@@ -85,3 +96,36 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _over_events(spark, sf_dir, DECODED_EVENTS_SQL)
+
+
+CHAINS = ("eth", "arbitrum", "optimism")
+# How a chain stores the native value and the time.
+_STORED = {
+    "eth": ("double", "timestamp"), "arbitrum": ("decimal(20,2)", "timestamp_ntz"), "optimism": ("string", "timestamp"),
+}
+
+
+def write_lake(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
+    """The derived tables as a lake of several chains, files and stored types; returns its root.
+
+    ``<root>/<chain>/transactions`` and ``decoded_events`` in time order, and
+    ``<root>/receipts`` in two files.
+    """
+    root = f"{staging_root(spark)}/lake-{uuid.uuid4().hex}/logs/eth/lake"
+    tx, events = transactions(spark, sf_dir), decoded_events(spark, sf_dir)
+    for chain in CHAINS:
+        value_type, time_type = _STORED[chain]
+        instant = to_utc_ts(F.col("block_timestamp"), tx.schema["block_timestamp"].dataType)
+        if time_type == "timestamp_ntz":
+            instant = F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
+        own = tx.filter(F.col("chain") == chain).drop("chain")
+        own = own.withColumns({"value": F.col("value").cast(value_type), "block_timestamp": instant})
+        own.repartitionByRange(files, "block_timestamp").write.parquet(f"{root}/{chain}/transactions")
+        logs = events.filter(F.col("chain") == chain).drop("chain").withColumn(
+            "block_timestamp", to_utc_ts(F.col("block_timestamp"), events.schema["block_timestamp"].dataType)
+        )
+        logs.repartitionByRange(files, "block_timestamp").write.parquet(f"{root}/{chain}/decoded_events")
+    rows = receipts(spark, sf_dir)
+    for name, part in (("a", rows.filter("receipt_id % 2 = 0")), ("b", rows.filter("receipt_id % 2 = 1"))):
+        part.coalesce(1).sortWithinPartitions("receipt_id").write.parquet(f"{root}/receipts/{name}")
+    return root

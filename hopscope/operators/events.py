@@ -19,6 +19,7 @@ from ..functions.json_args import EVENT_FIELDS
 from ..functions.scalars import null_if_blank
 from ..functions.u256 import hex_digits, hex_value, whole_number
 from ..sources.columns import match_column
+from .transactions import require
 
 # Argument names of the decoded events, best first.
 FROM_KEYS = ("from", "src", "sender")
@@ -33,8 +34,9 @@ def normalize_events(df: DataFrame) -> DataFrame:
     """One spelling for keys, time and contract; arguments and topics stay raw.
 
     ``args_json`` and ``args`` may be JSON text or typed columns, and some
-    column names have accepted alternates.
+    column names have accepted alternates. ``chain`` and the hash have to be there.
     """
+    require(df, ["chain"], ["transaction_hash", "tx_hash"])
 
     def source(*names: str) -> tuple[Column, T.DataType]:
         found = match_column(df.columns, names)
@@ -85,8 +87,10 @@ def _total_order(df: DataFrame) -> list[Column]:
 def cap_events(events: DataFrame, max_events: int) -> DataFrame:
     """Number events by log order as ``event_pos``; the first ``max_events`` stay.
 
-    The limit is pushed below the shuffle, so a hash with very many rows sends
-    at most ``max_events`` of them per map task.
+    Where the rows come straight from a scan or a broadcast join, the limit is
+    pushed below the shuffle, so a hash with very many rows sends at most
+    ``max_events`` of them per map task; after a shuffled join it applies to the
+    rows of a hash where they meet.
     """
     order = Window.partitionBy(*EVENT_KEY).orderBy(*_total_order(events))
     numbered = events.withColumn("event_pos", F.row_number().over(order))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.staging import stage
+
 
 def _per_file(files: DataFrame) -> DataFrame:
     """One row per file with its ordered column list, NULL if unreadable."""
@@ -17,7 +19,8 @@ def _per_file(files: DataFrame) -> DataFrame:
 
 def schema_column_presence(files: DataFrame) -> DataFrame:
     """``(chain, name, present_in_files, present_ratio)``; unreadable files
-    count in the denominator."""
+    count in the denominator. The footers are read once."""
+    files = stage(files, "footers")
     totals = files.groupBy("chain").agg(F.countDistinct("path").alias("_files"))
     return (
         files.filter(F.col("name").isNotNull())
@@ -59,8 +62,9 @@ def schema_global_union(files: DataFrame) -> DataFrame:
 
 
 def schema_summary(files: DataFrame, chains: Sequence[str]) -> DataFrame:
-    """One row per asked-for chain; a chain without files has ``error`` set."""
+    """One row per asked-for chain; a chain without files has ``error`` set. The footers are read once."""
     spark = files.sparkSession
+    files = stage(files, "footers")
     asked = spark.createDataFrame([(c,) for c in chains], "chain string")
     schemas = (
         _per_file(files)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import EpisodeConfig
+from ..functions.scalars import NULL_WORDS
 from .transactions import TX_ORDER
 
 
@@ -29,7 +30,9 @@ def resolve_source_actor(receipts: DataFrame, tx: DataFrame, config: EpisodeConf
     """
     ids = list(config.id_cols)
     searched = _search_windows(receipts.filter(F.col("_src_chain").isNotNull()), config)
-    keys = searched.filter(F.length("_src_tx_hash") > 0).select(
+    # Placeholders would all meet in one key and match nothing.
+    named = (F.length("_src_tx_hash") > 0) & ~F.lower("_src_tx_hash").isin(*NULL_WORDS, "0x")
+    keys = searched.filter(named).select(
         *ids,
         F.col("_src_chain").alias("chain"),
         F.col("_src_tx_hash").alias("transaction_hash"),

@@ -181,7 +181,7 @@ def _delta_rows(trace: DataFrame, legs: Column, id_cols: tuple[str, ...]) -> Dat
     return sums.select(*keys, "addr", "token", limbs_text(F.col("low"), F.col("mid"), F.col("top")).alias("delta"))
 
 
-def transfer_delta(trace: DataFrame, id_cols: tuple[str, ...] = ("episode_row",)) -> DataFrame:
+def transfer_delta(trace: DataFrame, id_cols: tuple[str, ...] = ("episode_file", "episode_row")) -> DataFrame:
     """Long form ``(ids, tx_pos, addr, token, delta)`` of the Transfer events.
 
     A focus address without any movement has one row with a NULL token.
@@ -189,7 +189,7 @@ def transfer_delta(trace: DataFrame, id_cols: tuple[str, ...] = ("episode_row",)
     return _delta_rows(trace, transfer_legs(F.col("events")), id_cols)
 
 
-def native_delta(trace: DataFrame, id_cols: tuple[str, ...] = ("episode_row",)) -> DataFrame:
+def native_delta(trace: DataFrame, id_cols: tuple[str, ...] = ("episode_file", "episode_row")) -> DataFrame:
     """Long form of the native value moved by each transaction."""
     legs = native_legs(F.col("value"), F.col("from_address"), F.col("to_address"))
     return _delta_rows(trace, legs, id_cols).filter(F.col("token").isNotNull())

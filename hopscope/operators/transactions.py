@@ -49,13 +49,21 @@ def _utc_wall(instant: Column) -> Column:
     return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
 
 
+def require(df: DataFrame, *alternatives: list[str]) -> None:
+    """Raise if none of the names of a list is a column."""
+    for names in alternatives:
+        if match_column(df.columns, names) is None:
+            raise ValueError(f"no column {' or '.join(names)}; there are {', '.join(df.columns) or 'none'}")
+
+
 def normalize_transactions(df: DataFrame, keep_value_text: bool = True) -> DataFrame:
     """One spelling for hashes, addresses, times, values and call data.
 
     Columns a source lacks come out as typed NULLs. Only the first four bytes
     of the call data are kept, as ``method_id``, so that the long payload is
-    dropped at the scan.
+    dropped at the scan. ``chain``, the hash and the time have to be there.
     """
+    require(df, ["chain"], ["transaction_hash", "tx_hash"], ["block_timestamp"])
 
     def source(name: str, *aliases: str) -> tuple[Column, T.DataType]:
         found = match_column(df.columns, [name, *aliases])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import parse_actions
 from ..functions.scalars import null_if_blank
 from ..sources.columns import match_column
+from ..sources.staging import stage, staging_root
 from .receipts import EPISODE_COLUMNS
 
 # Receipt columns shown if present, best first.
@@ -22,9 +23,9 @@ def episode_view(
 ) -> DataFrame:
     """Episodes with at least one action, the first ``limit`` in id order.
 
-    ``id`` counts from 0. The limit becomes a distributed top-k and only its
-    rows are numbered in one place; with ``limit=0`` all rows are kept and
-    ``id`` is increasing but has gaps.
+    ``id`` counts from 0 without gaps. The limit becomes a distributed top-k and
+    only its rows are numbered in one place; with ``limit=0`` all rows are kept,
+    written in order once, and numbered by file and place.
     """
     missing = [c for c in EPISODE_COLUMNS if c not in episodes.columns]
     if missing:
@@ -40,7 +41,7 @@ def episode_view(
         top = kept.limit(limit)
         number = F.row_number().over(Window.orderBy(*order)).cast("long") - 1
     else:
-        top, number = kept, F.monotonically_increasing_id()
+        top, number = _numbered(kept)
     return top.select(
         number.alias("id"),
         F.col("EPISODE_TX_COUNT").alias("tx_count"),
@@ -55,6 +56,20 @@ def episode_view(
     )
 
 
+def _numbered(ordered: DataFrame) -> tuple[DataFrame, Column]:
+    """A sorted frame, stored, and its row numbers; the rows of each file are counted, not gathered."""
+    if staging_root(ordered.sparkSession) is None:
+        raise ValueError("numbering all rows needs a shared folder in spark.checkpoint.dir")
+    stored = stage(ordered, "view")
+    part = F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).cast("int")
+    placed = stored.select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_row"))
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row for each file of the sort.
+    starts = sizes.select("_part", before.alias("_start"))
+    return placed.join(starts, "_part"), F.col("_start") + F.col("_row")
+
+
 def _event_line(event: Column) -> Column:
     amount = F.coalesce(F.concat(F.lit(" amt="), null_if_blank(event["amount"])), F.lit(""))
     name = F.coalesce(null_if_blank(event["event_name"]), event["event_signature"], F.lit(""))

@@ -21,6 +21,11 @@ SETTINGS = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     # Bloom filter from the small join side down to the big scan.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # The default leaves it out where the small side is over 10 MB, as at scale.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4GB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "40000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "268435456",
 }
 
 # These can only be set while the session is built.

@@ -11,6 +11,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..functions import to_utc_ts
+
 # For each role the accepted names, best first, and the word
 # groups that identify a column when no accepted name is present.
 ROLE_RULES = {
@@ -102,20 +104,27 @@ def project_tolerant(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
 
 
 def union_promoting(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union by name. Missing columns are NULL; a column whose types differ
-    between the inputs is widened to text unless all of them are numbers."""
+    """Union by name. Missing columns are NULL. A column whose types differ
+    between the inputs becomes an instant if all of them are times (those
+    without a zone are UTC wall clocks), a number if all are numbers, else text."""
     types: dict[str, list[T.DataType]] = {}
     for frame in frames:
         for field in frame.schema.fields:
             types.setdefault(field.name, []).append(field.dataType)
 
-    def needs_text(seen: list[T.DataType]) -> bool:
-        return any(t != seen[0] for t in seen) and not all(isinstance(t, T.NumericType) for t in seen)
+    def differ(seen: list[T.DataType]) -> bool:
+        return any(t != seen[0] for t in seen)
+
+    def all_are(seen: list[T.DataType], *kinds: type) -> bool:
+        return all(isinstance(t, kinds) for t in seen)
 
-    texts = [name for name, seen in types.items() if needs_text(seen)]
+    mixed = {name: seen for name, seen in types.items() if differ(seen)}
+    times = [name for name, seen in mixed.items() if all_are(seen, T.TimestampType, T.TimestampNTZType, T.DateType)]
+    texts = [name for name, seen in mixed.items() if name not in times and not all_are(seen, T.NumericType)]
     out = None
     for frame in frames:
         here = {n: F.col(f"`{n}`").cast("string") for n in texts if n in frame.columns}
+        here |= {n: to_utc_ts(F.col(f"`{n}`"), frame.schema[n].dataType) for n in times if n in frame.columns}
         frame = frame.withColumns(here) if here else frame
         out = frame if out is None else out.unionByName(frame, allowMissingColumns=True)
     return out

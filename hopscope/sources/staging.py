@@ -8,13 +8,18 @@ and gives the planner real sizes to decide on broadcasts.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_scratch: tempfile.TemporaryDirectory | None = None
+# Paths staged inside the open ``staging`` blocks, innermost last.
+_open_blocks: list[list[str]] = []
 
 
 def staging_root(spark: SparkSession) -> str | None:
@@ -34,13 +39,33 @@ def staging_root(spark: SparkSession) -> str | None:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a reader of it.
 
-    On a cluster without a shared folder the plan stays lazy: correct, but each
-    reader computes it again.
+    On a cluster without a shared folder the plan stays lazy, with a warning:
+    correct, but each reader computes it again.
     """
     spark = df.sparkSession
     root = staging_root(spark)
     if root is None:
+        warnings.warn(
+            f"{name} is computed again for every reader: set {_CHECKPOINT_DIR} to a shared folder", stacklevel=2
+        )
         return df
     path = f"{root.rstrip('/')}/hopscope-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _open_blocks:
+        _open_blocks[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the tables that were staged in it.
+
+    Frames built in the block can't be read any more after it.
+    """
+    _open_blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _open_blocks.pop():
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions import tx_value_text
 from ..operators.receipts import ROLES, canonical_receipts
-from .columns import project_tolerant, union_promoting
+from .columns import match_column, project_tolerant, union_promoting
 from .files import file_columns, list_parquet, path_exists, read_folder
 
+# The column names of the stored tables.
 TX_COLUMNS = {
     "block_timestamp": "timestamp",
     "transaction_hash": "string",
@@ -80,11 +82,22 @@ def read_transactions(spark: SparkSession, root: str, chains: Sequence[str], str
     """``<root>/<chain>/transactions`` of every chain, with a ``chain`` column.
 
     Wanted columns a chain lacks are NULL. A chain without a folder gives no
-    rows, or raises with ``strict``.
+    rows, or raises with ``strict``. The native value is turned into text chain
+    by chain, while its stored type is known: numbers lose their fraction.
     """
+    tables = _chain_tables(spark, root, chains, "transactions", strict)
+    return unite_transactions(spark, [(chain, df) for chain, df in tables])
+
+
+def unite_transactions(spark: SparkSession, tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """One table of the stored transactions of several chains."""
     frames = []
-    for chain, df in _chain_tables(spark, root, chains, "transactions", strict):
+    for chain, df in tables:
         stored_time = dict(df.dtypes).get("block_timestamp", "timestamp")
+        found = match_column(df.columns, ["value"])
+        kind = None if found is None else df.schema[found].dataType
+        if isinstance(kind, T.NumericType) and not isinstance(kind, T.IntegralType):
+            df = df.withColumn(found, tx_value_text(F.col(f"`{found}`"), kind))
         shaped = project_tolerant(df, {**TX_COLUMNS, "block_timestamp": stored_time})
         frames.append(shaped.select(F.lit(chain).alias("chain"), "*"))
     if not frames:
@@ -94,9 +107,14 @@ def read_transactions(spark: SparkSession, root: str, chains: Sequence[str], str
 
 def read_decoded_events(spark: SparkSession, root: str, chains: Sequence[str]) -> DataFrame | None:
     """``<root>/<chain>/decoded_events``; None when no chain has any."""
+    return unite_events(list(_chain_tables(spark, root, chains, "decoded_events", strict=False)))
+
+
+def unite_events(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame | None:
+    """One table of the stored events of several chains, None for none."""
     frames = [
         df.select(F.lit(chain).alias("chain"), *[F.col(c) for c in df.columns if c.lower() in EVENT_COLUMNS])
-        for chain, df in _chain_tables(spark, root, chains, "decoded_events", strict=False)
+        for chain, df in tables
     ]
     return union_promoting(frames) if frames else None
 

@@ -12,19 +12,32 @@ from .files import list_parquet, open_uri, path_exists, read_folder
 
 TIMESTAMP_COL = "block_timestamp"
 TARGETS = ("transactions", "decoded_events", "logs")
-RAW_SCHEMA = "path string, lo string, hi string, method string, error string"
+RAW_SCHEMA = "lo string, hi string, method string, error string"
 
 
 def _bounds_from_footer(parquet, column: str):
-    """Smallest and largest value from row-group statistics, None without."""
-    position = parquet.schema_arrow.get_field_index(column)
-    if position < 0:
+    """Smallest and largest value from row-group statistics.
+
+    None if a row group with rows has no statistics: what it holds is unknown.
+    The leaf is found by its path, since leaves behind nested fields are not
+    numbered like fields.
+    """
+    if parquet.schema_arrow.get_field_index(column) < 0:
         raise ValueError(f"no column {column}")
-    groups = (parquet.metadata.row_group(i) for i in range(parquet.metadata.num_row_groups))
-    stats = [g.column(position).statistics for g in groups]
-    lows = [s.min for s in stats if s is not None and s.has_min_max]
-    highs = [s.max for s in stats if s is not None and s.has_min_max]
-    return (min(lows), max(highs)) if lows else None
+    low = high = None
+    for i in range(parquet.metadata.num_row_groups):
+        group = parquet.metadata.row_group(i)
+        leaf = next(c for c in map(group.column, range(group.num_columns)) if c.path_in_schema == column)
+        stats = leaf.statistics
+        if stats is not None and stats.has_null_count and stats.null_count == group.num_rows:
+            continue
+        if stats is None or not stats.has_min_max:
+            if group.num_rows:
+                return None
+            continue
+        low = stats.min if low is None else min(low, stats.min)
+        high = stats.max if high is None else max(high, stats.max)
+    return None if low is None else (low, high)
 
 
 def _bounds_from_column(parquet, column: str):
@@ -42,7 +55,7 @@ def _bounds_from_column(parquet, column: str):
     return lo, hi
 
 
-def _indexer(column: str):
+def _indexer(column: str, carried: Sequence[str]):
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
 
@@ -55,10 +68,11 @@ def _indexer(column: str):
                         bounds, method = _bounds_from_footer(parquet, column), "metadata"
                         if bounds is None:
                             bounds, method = _bounds_from_column(parquet, column), "read_column"
-                    rows.append((path, str(bounds[0]), str(bounds[1]), method, None))
+                    rows.append((str(bounds[0]), str(bounds[1]), method, None))
                 except Exception as problem:
-                    rows.append((path, None, None, None, str(problem)))
-            yield pd.DataFrame(rows, columns=["path", "lo", "hi", "method", "error"])
+                    rows.append((None, None, None, str(problem)))
+            found = pd.DataFrame(rows, columns=["lo", "hi", "method", "error"], index=batch.index)
+            yield pd.concat([batch[list(carried)], found], axis=1)
 
     return index
 
@@ -70,18 +84,36 @@ def index_files(files: DataFrame, ts_col: str = TIMESTAMP_COL) -> DataFrame:
     files without statistics. Adds ``file, timestamp_col, min_ts, max_ts,
     method, error``.
     """
-    raw = files.select("path").mapInPandas(_indexer(ts_col), RAW_SCHEMA)
+    names = [f"`{c}`" for c in files.columns]
+    schema = ", ".join([*(f"{n} {t}" for n, (_, t) in zip(names, files.dtypes)), RAW_SCHEMA])
+    raw = files.mapInPandas(_indexer(ts_col, files.columns), schema)
     lo, hi = (ts_iso(to_utc_ts(F.col(c), T.StringType())) for c in ("lo", "hi"))
     unreadable = F.when(F.col("error").isNull() & (lo.isNull() | hi.isNull()), F.lit("timestamp parse failed"))
-    timed = raw.select(
-        "path",
+    return raw.select(
+        F.col("path").alias("file"),
+        *[F.col(f"`{c}`") for c in files.columns if c != "path"],
         F.lit(ts_col).alias("timestamp_col"),
         lo.alias("min_ts"),
         hi.alias("max_ts"),
         "method",
         F.coalesce("error", unreadable).alias("error"),
     )
-    return files.join(timed, "path").withColumnRenamed("path", "file")
+
+
+def listed_files(spark: SparkSession, folder: str, chain: str, dataset: str) -> DataFrame:
+    """``path, rel_file, chain, dataset`` of the files below one folder.
+
+    Chain and dataset are those of the folder asked for, whatever words the
+    path holds besides.
+    """
+    listed = list_parquet(spark, [folder])
+    inside = F.substring_index("path", f"/{chain}/{dataset}/", -1)
+    return listed.select(
+        "path",
+        F.concat(F.lit(f"{chain}/{dataset}/"), inside).alias("rel_file"),
+        F.lit(chain).alias("chain"),
+        F.lit(dataset).alias("dataset"),
+    )
 
 
 def build_time_index(
@@ -97,15 +129,10 @@ def build_time_index(
     method, error``; ``error`` is NULL for an indexed file.
     """
     base = base_dir.rstrip("/")
-    listed = list_parquet(spark, [f"{base}/{c}/{t}" for c in chains for t in targets])
-    names = "|".join(targets)
-    rel = F.regexp_extract("path", f"([^/]+/({names})/.*)$", 1)
-    files = listed.select(
-        "path",
-        rel.alias("rel_file"),
-        F.substring_index(rel, "/", 1).alias("chain"),
-        F.regexp_extract(rel, f"^[^/]+/({names})/", 1).alias("dataset"),
-    )
+    parts = [listed_files(spark, f"{base}/{c}/{t}", c, t) for c in chains for t in targets]
+    files = parts[0]
+    for part in parts[1:]:
+        files = files.unionByName(part)
     return index_files(files, ts_col)
 
 
@@ -137,32 +164,78 @@ def write_time_index(index: DataFrame, path: str) -> None:
     index.write.mode("overwrite").parquet(path)
 
 
+_GOOD = (
+    "file string, rel_file string, chain string, dataset string, timestamp_col string, "
+    "min_ts string, max_ts string, method string"
+)
+_BAD = "file string, rel_file string, chain string, dataset string, error string"
+
+
 def read_time_index(spark: SparkSession, path: str) -> DataFrame | None:
-    """Index from a parquet folder or from ``*_time_index.json`` summaries.
+    """Index from a parquet folder, a ``*_time_index.json`` summary or a folder of those.
 
-    A missing or unreadable index is None.
+    A missing index is None; one that is there but can't be read raises.
     """
     if not path_exists(spark, path):
         return None
-    try:
-        if not path.endswith(".json"):
-            return spark.read.parquet(path)
-        good = "file string, rel_file string, chain string, dataset string, timestamp_col string, " \
-               "min_ts string, max_ts string, method string"
-        bad = "file string, rel_file string, chain string, dataset string, error string"
-        summary = spark.read.schema(f"files array<struct<{_fields(good)}>>, errors array<struct<{_fields(bad)}>>") \
-            .option("multiLine", "true").json(path)
-        rows = summary.select(F.inline("files"))
-        errors = summary.select(F.inline("errors"))
-        return rows.unionByName(errors, allowMissingColumns=True)
-    except Exception:
-        return None
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [str(f.getPath()) for f in system.listStatus(hadoop_path)]
+    summaries = sorted(n for n in names if n.endswith("_time_index.json"))
+    if not summaries:
+        return spark.read.parquet(path)
+    shape = f"files array<struct<{_fields(_GOOD)}>>, errors array<struct<{_fields(_BAD)}>>"
+    summary = spark.read.schema(shape).option("multiLine", "true").option("mode", "FAILFAST").json(summaries)
+    rows, errors = summary.select(F.inline("files")), summary.select(F.inline("errors"))
+    return rows.unionByName(errors, allowMissingColumns=True)
 
 
 def _fields(ddl: str) -> str:
     return ", ".join(":".join(part.split()) for part in ddl.split(","))
 
 
+def files_to_read(
+    spark: SparkSession, index: DataFrame | None, root: str, chain: str, target: str, days: DataFrame, strict: bool = False
+) -> list[str] | None:
+    """Files of one chain that can hold rows of the ``days`` (``lo``, ``hi``), None for all of them.
+
+    Chosen are the indexed files that overlap a day, the files the index has as
+    errors, and files of the folder that it does not list. Only file names reach
+    the driver.
+    """
+    folder = f"{root.rstrip('/')}/{chain}/{target}"
+    mine = None if index is None else index.filter((F.col("chain") == chain) & (F.col("dataset") == target))
+    if mine is None or mine.isEmpty():
+        if strict:
+            raise FileNotFoundError(f"no time index for {chain}/{target}")
+        return None
+    good = mine.filter(F.col("error").isNull()) if "error" in mine.columns else mine
+    lo, hi = (to_utc_ts(F.col(c), T.StringType()) for c in ("min_ts", "max_ts"))
+    # A file is met by each day it touches: an equality join, whatever the number of days.
+    touched = good.select("file", F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias("day"), lo.alias("lo"), hi.alias("hi"))
+    asked = days.select(
+        F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("day"), F.col("lo").alias("from"), F.col("hi").alias("to")
+    ).distinct()
+    hits = touched.join(asked, "day").filter((F.col("hi") >= F.col("from")) & (F.col("lo") < F.col("to")))
+    chosen = {r.file for r in hits.select("file").distinct().toLocalIterator()}
+    if strict and not chosen:
+        raise FileNotFoundError(f"time index of {chain}/{target} has no file in the range")
+    listed = list_parquet(spark, [folder]).select(F.col("path").alias("file"))
+    unknown = listed.join(good.select("file"), "file", "left_anti")
+    return sorted(chosen | {r.file for r in unknown.toLocalIterator()})
+
+
+def read_files(spark: SparkSession, root: str, chain: str, target: str, files: list[str] | None) -> DataFrame:
+    """The chosen files of a chain's folder with all columns that any of its files has; the whole folder for None."""
+    folder = f"{root.rstrip('/')}/{chain}/{target}"
+    whole = read_folder(spark, folder, merge_schema=True)
+    if files is None:
+        return whole
+    if not files:
+        return whole.limit(0)
+    return spark.read.schema(whole.schema).option("basePath", folder).parquet(*files)
+
+
 def read_for_range(
     spark: SparkSession,
     index: DataFrame | None,
@@ -173,24 +246,13 @@ def read_for_range(
     target: str = "transactions",
     strict: bool = False,
 ) -> DataFrame:
-    """Read only the files of one chain that can hold rows in ``[start, end)``.
+    """Read only the files of one chain that can hold rows in ``[start, end)``, with a ``chain`` column.
 
-    Files the index could not cover are read too, so nothing is lost. Without
-    an index the whole chain is read; with ``strict`` a miss raises instead.
-    The list of file names is the one thing that reaches the driver, as in any
-    multi-file read.
+    Files the index does not list or could not cover are read too, so nothing
+    is lost. Without an index the whole chain is read; with ``strict`` a miss
+    raises instead.
     """
-    folder = f"{root.rstrip('/')}/{chain}/{target}"
-    mine = None if index is None else index.filter((F.col("chain") == chain) & (F.col("dataset") == target))
-    if mine is None or mine.isEmpty():
-        if strict:
-            raise FileNotFoundError(f"no time index for {chain}/{target}")
-        return read_folder(spark, folder)
-    hits = select_files(mine.filter(F.col("error").isNull()), start, end)
-    chosen = [r.file for r in hits.select("file").toLocalIterator()]
-    if strict and not chosen:
-        raise FileNotFoundError(f"time index of {chain}/{target} has no file in the range")
-    chosen += [r.file for r in mine.filter(F.col("error").isNotNull()).select("file").toLocalIterator()]
-    if not chosen:
-        return read_folder(spark, folder).limit(0)
-    return spark.read.parquet(*chosen)
+    days = spark.range(1).select(start.alias("lo"), end.alias("hi"))
+    files = files_to_read(spark, index, root, chain, target, days, strict)
+    rows = read_files(spark, root, chain, target, files)
+    return rows.withColumn("chain", F.lit(chain))
