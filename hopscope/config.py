@@ -34,4 +34,5 @@ class TraceConfig:
     episode_actions_col: str = "EPISODE_ACTIONS_JSON"
     focus_addr_cols: tuple[str, ...] = ()
     max_events_per_tx: int = 500
-    id_cols: tuple[str, ...] = ("episode_file", "episode_row")
+    # None: file and row of the stored episode; the row alone where there is no file column.
+    id_cols: tuple[str, ...] | None = None

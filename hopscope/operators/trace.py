@@ -21,21 +21,29 @@ _TRACE_FIELDS = (
 )
 
 
+def episode_ids(df: DataFrame, id_cols: tuple[str, ...] | None) -> tuple[str, ...]:
+    """The columns that tell episodes apart; rows repeat in every stored file, so the file belongs to them."""
+    if id_cols is not None:
+        return id_cols
+    return ("episode_file", "episode_row") if "episode_file" in df.columns else ("episode_row",)
+
+
 def explode_actions(episodes: DataFrame, config: TraceConfig = TraceConfig()) -> DataFrame:
     """One row per action with its position in the episode.
 
     Actions without hash or chain are dropped after numbering. ``extra_focus``
     holds the valid addresses of the chosen receipt columns.
     """
+    ids = episode_ids(episodes, config.id_cols)
     data_type = episodes.schema[config.episode_actions_col].dataType
     actions = parse_actions(F.col(config.episode_actions_col), data_type)
     parsed = episodes.select(
-        *config.id_cols, _extra_focus(episodes, config).alias("extra_focus"), F.posexplode(actions).alias("tx_pos", "_a")
+        *ids, _extra_focus(episodes, config).alias("extra_focus"), F.posexplode(actions).alias("tx_pos", "_a")
     )
     known = set(parsed.schema["_a"].dataType.fieldNames())
     hashes = [null_if_blank(F.col(f"_a.{n}")) for n in ("tx_hash", "transaction_hash") if n in known]
     return parsed.select(
-        *config.id_cols,
+        *ids,
         F.col("tx_pos").cast("long").alias("tx_pos"),
         F.lower(strip(F.col("_a.chain"))).alias("chain"),
         F.col("_a.phase").alias("phase"),
@@ -166,8 +174,8 @@ def net_delta(legs: Column, focus: Column) -> Column:
     )
 
 
-def _delta_rows(trace: DataFrame, legs: Column, id_cols: tuple[str, ...]) -> DataFrame:
-    keys = [*id_cols, "tx_pos"]
+def _delta_rows(trace: DataFrame, legs: Column, id_cols: tuple[str, ...] | None) -> DataFrame:
+    keys = [*episode_ids(trace, id_cols), "tx_pos"]
     focus = focus_addresses(F.col("from_address"), F.col("extra_focus"))
     own = F.filter(F.col("_legs"), lambda leg: leg["addr"] == F.col("addr"))
     exploded = (
@@ -181,7 +189,7 @@ def _delta_rows(trace: DataFrame, legs: Column, id_cols: tuple[str, ...]) -> Dat
     return sums.select(*keys, "addr", "token", limbs_text(F.col("low"), F.col("mid"), F.col("top")).alias("delta"))
 
 
-def transfer_delta(trace: DataFrame, id_cols: tuple[str, ...] = ("episode_file", "episode_row")) -> DataFrame:
+def transfer_delta(trace: DataFrame, id_cols: tuple[str, ...] | None = None) -> DataFrame:
     """Long form ``(ids, tx_pos, addr, token, delta)`` of the Transfer events.
 
     A focus address without any movement has one row with a NULL token.
@@ -189,7 +197,7 @@ def transfer_delta(trace: DataFrame, id_cols: tuple[str, ...] = ("episode_file",
     return _delta_rows(trace, transfer_legs(F.col("events")), id_cols)
 
 
-def native_delta(trace: DataFrame, id_cols: tuple[str, ...] = ("episode_file", "episode_row")) -> DataFrame:
+def native_delta(trace: DataFrame, id_cols: tuple[str, ...] | None = None) -> DataFrame:
     """Long form of the native value moved by each transaction."""
     legs = native_legs(F.col("value"), F.col("from_address"), F.col("to_address"))
     return _delta_rows(trace, legs, id_cols).filter(F.col("token").isNotNull())
@@ -230,7 +238,7 @@ def trace_rows(trace: DataFrame, config: TraceConfig = TraceConfig()) -> DataFra
     )
     focus = focus_addresses(F.col("from_address"), F.col("extra_focus"))
     return trace.withColumn("transfer_delta", net_delta(legs, focus)).select(
-        *config.id_cols,
+        *episode_ids(trace, config.id_cols),
         "tx_pos",
         "chain",
         "phase",
