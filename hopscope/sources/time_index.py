@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -9,9 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions import to_utc_ts, ts_iso
 from .files import list_parquet, open_uri, path_exists, read_folder
+from .staging import stage
 
 TIMESTAMP_COL = "block_timestamp"
 TARGETS = ("transactions", "decoded_events", "logs")
+UNREADABLE = "unreadable"
 RAW_SCHEMA = "lo string, hi string, method string, error string"
 
 
@@ -62,15 +65,17 @@ def _indexer(column: str, carried: Sequence[str]):
         for batch in batches:
             rows = []
             for path in batch["path"]:
+                opened = False
                 try:
                     with open_uri(path) as source:
                         parquet = pq.ParquetFile(source)
+                        opened = True
                         bounds, method = _bounds_from_footer(parquet, column), "metadata"
                         if bounds is None:
                             bounds, method = _bounds_from_column(parquet, column), "read_column"
                     rows.append((str(bounds[0]), str(bounds[1]), method, None))
                 except Exception as problem:
-                    rows.append((None, None, None, str(problem)))
+                    rows.append((None, None, None, str(problem) if opened else f"{UNREADABLE}: {problem}"))
             found = pd.DataFrame(rows, columns=["lo", "hi", "method", "error"], index=batch.index)
             yield pd.concat([batch[list(carried)], found], axis=1)
 
@@ -199,9 +204,10 @@ def files_to_read(
 ) -> list[str] | None:
     """Files of one chain that can hold rows of the ``days`` (``lo``, ``hi``), None for all of them.
 
-    Chosen are the indexed files that overlap a day, the files the index has as
-    errors, and files of the folder that it does not list. Only file names reach
-    the driver.
+    Chosen are the indexed files that overlap a day and the files the index has
+    as errors. Files of the folder that it does not list are indexed on the way;
+    one of them that is no parquet at all is left out with a warning. Only file
+    names reach the driver.
     """
     folder = f"{root.rstrip('/')}/{chain}/{target}"
     mine = None if index is None else index.filter((F.col("chain") == chain) & (F.col("dataset") == target))
@@ -209,7 +215,16 @@ def files_to_read(
         if strict:
             raise FileNotFoundError(f"no time index for {chain}/{target}")
         return None
-    good = mine.filter(F.col("error").isNull()) if "error" in mine.columns else mine
+    mine = mine.select("file", "min_ts", "max_ts", F.col("error") if "error" in mine.columns else F.lit(None).cast("string").alias("error"))
+    unlisted = list_parquet(spark, [folder]).select("path").join(mine.select(F.col("file").alias("path")), "path", "left_anti")
+    unlisted = stage(index_files(unlisted).select("file", "min_ts", "max_ts", "error"), "unlisted")
+    broken = [r.file for r in unlisted.filter(F.startswith("error", F.lit(UNREADABLE))).select("file").toLocalIterator()]
+    if broken:
+        warnings.warn(f"not parquet, left out: {', '.join(broken)}", stacklevel=2)
+    errors = mine.filter(F.col("error").isNotNull()).unionByName(
+        unlisted.filter(F.col("error").isNotNull() & ~F.startswith("error", F.lit(UNREADABLE)))
+    )
+    good = mine.unionByName(unlisted).filter(F.col("error").isNull())
     lo, hi = (to_utc_ts(F.col(c), T.StringType()) for c in ("min_ts", "max_ts"))
     # A file is met by each day it touches: an equality join, whatever the number of days.
     touched = good.select("file", F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias("day"), lo.alias("lo"), hi.alias("hi"))
@@ -220,20 +235,17 @@ def files_to_read(
     chosen = {r.file for r in hits.select("file").distinct().toLocalIterator()}
     if strict and not chosen:
         raise FileNotFoundError(f"time index of {chain}/{target} has no file in the range")
-    listed = list_parquet(spark, [folder]).select(F.col("path").alias("file"))
-    unknown = listed.join(good.select("file"), "file", "left_anti")
-    return sorted(chosen | {r.file for r in unknown.toLocalIterator()})
+    return sorted(chosen | {r.file for r in errors.select("file").toLocalIterator()})
 
 
 def read_files(spark: SparkSession, root: str, chain: str, target: str, files: list[str] | None) -> DataFrame:
-    """The chosen files of a chain's folder with all columns that any of its files has; the whole folder for None."""
+    """The chosen files of a chain's folder with all columns that any of them has; the whole folder for None."""
     folder = f"{root.rstrip('/')}/{chain}/{target}"
-    whole = read_folder(spark, folder, merge_schema=True)
     if files is None:
-        return whole
+        return read_folder(spark, folder, merge_schema=True)
     if not files:
-        return whole.limit(0)
-    return spark.read.schema(whole.schema).option("basePath", folder).parquet(*files)
+        return read_folder(spark, folder, merge_schema=True).limit(0)
+    return spark.read.option("mergeSchema", "true").option("basePath", folder).parquet(*files)
 
 
 def read_for_range(
