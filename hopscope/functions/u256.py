@@ -112,6 +112,65 @@ def limbs_of(text: Column, sign: Column | None = None) -> Column:
     return F.when(F.length(text) < LIMB_DIGITS, short).otherwise(let(padded, long_form))
 
 
+def signed_text(text: Column, sign: Column) -> Column:
+    """Canonical text times a sign of 1 or -1."""
+    flipped = F.when(F.startswith(text, F.lit("-")), F.substring(text, 2, 1 << 30)).otherwise(F.concat(F.lit("-"), text))
+    return F.when((sign < 0) & (text != "0"), flipped).otherwise(text)
+
+
+def long_sum_text(texts: Column) -> Column:
+    """Exact sum of an array of canonical texts of any length, as text.
+
+    For the rare numbers beyond 86 digits: limbs of 26 digits in arrays, the
+    least first, are added place by place and carried once.
+    """
+    zero, base = F.lit(0).cast(_WIDE), _dec(_BASE)
+
+    def limbs(text: Column) -> Column:
+        minus = F.startswith(text, F.lit("-"))
+        digits = F.regexp_replace(text, "^-", "")
+        n = F.ceil(F.length(digits) / LIMB_DIGITS).cast("int")
+        padded = F.lpad(digits, n * LIMB_DIGITS, F.lit("0"))
+
+        def limb(i: Column) -> Column:
+            part = F.substr(padded, (n - 1 - i) * LIMB_DIGITS + 1, F.lit(LIMB_DIGITS)).cast(_WIDE)
+            return F.when(minus, -part).otherwise(part).cast(_WIDE)
+
+        return F.transform(F.sequence(F.lit(0), n - 1), limb)
+
+    def add(a: Column, b: Column) -> Column:
+        return F.zip_with(a, b, lambda x, y: (F.coalesce(x, zero) + F.coalesce(y, zero)).cast(_WIDE))
+
+    def carried(sums: Column) -> Column:
+        start = F.struct(zero.alias("carry"), F.array().cast(f"array<{_WIDE}>").alias("out"))
+
+        def step(acc: Column, value: Column) -> Column:
+            return let(
+                (value + acc["carry"]).cast(_WIDE),
+                lambda v: F.struct(
+                    F.call_function("div", v - F.pmod(v, base), base).cast(_WIDE).alias("carry"),
+                    F.concat(acc["out"], F.array(F.pmod(v, base).cast(_WIDE))).alias("out"),
+                ),
+            )
+
+        return F.aggregate(sums, start, step)
+
+    def render(c: Column) -> Column:
+        rest = F.transform(F.reverse(c["out"]), lambda x: F.lpad(x.cast("string"), LIMB_DIGITS, "0"))
+        return F.regexp_replace(F.concat(c["carry"].cast("string"), F.array_join(rest, "")), "^0+(?=[0-9])", "")
+
+    total = F.aggregate(F.transform(texts, limbs), F.array().cast(f"array<{_WIDE}>"), add)
+
+    def body(sums: Column) -> Column:
+        down = carried(F.transform(sums, lambda x: (-x).cast(_WIDE)))
+        return let(
+            carried(sums),
+            lambda up: F.when(up["carry"] >= 0, render(up)).otherwise(F.concat(F.lit("-"), let(down, render))),
+        )
+
+    return let(total, body)
+
+
 def _hex_word_sum(digits: Column) -> Column:
     """Up to 64 hex digits: eight 32-bit words times constant limb weights."""
     padded = F.lpad(digits, 64, "0")

@@ -8,7 +8,7 @@ from ..config import TraceConfig
 from ..functions import normalize_addr, parse_actions, to_utc_ts, ts_iso
 from ..functions.json_args import bare_integers
 from ..functions.scalars import let, null_if_blank, strip
-from ..functions.u256 import LIMBS, MAX_DIGITS, limbs_of, limbs_text
+from ..functions.u256 import LIMBS, MAX_DIGITS, limbs_of, limbs_text, long_sum_text, signed_text
 from .transactions import tx_order
 
 NATIVE = "native"
@@ -116,14 +116,13 @@ def _leg(addr: Column, token: Column, amount: Column, sign: int) -> Column:
     )
 
 
-def transfer_legs(events: Column) -> Column:
-    """Two signed legs per Transfer event that has an amount.
+def _is_long(amount: Column) -> Column:
+    return F.length(amount) > MAX_DIGITS
 
-    Amounts too long for the limbs are no uint256 and carry no balance.
-    """
-    moves = F.filter(
-        events, lambda e: (e["event_name"] == "Transfer") & (F.length(e["amount"]) <= MAX_DIGITS)
-    )
+
+def transfer_legs(events: Column) -> Column:
+    """Two signed legs per Transfer event that has an amount."""
+    moves = F.filter(events, lambda e: (e["event_name"] == "Transfer") & e["amount"].isNotNull())
 
     def legs(e: Column) -> Column:
         token = F.coalesce(null_if_blank(e["token"]), e["contract"], F.lit(UNKNOWN_TOKEN))
@@ -136,8 +135,7 @@ def native_legs(value: Column, from_address: Column, to_address: Column) -> Colu
     """Two signed legs of the native value; none when it is zero or unknown."""
     native = F.lit(NATIVE)
     legs = F.array(_leg(from_address, native, value, -1), _leg(to_address, native, value, 1))
-    moved = (value != "0") & (F.length(value) <= MAX_DIGITS)
-    return F.when(moved, legs).otherwise(F.filter(legs, lambda x: F.lit(False)))
+    return F.when(value != "0", legs).otherwise(F.filter(legs, lambda x: F.lit(False)))
 
 
 def net_delta(legs: Column, focus: Column) -> Column:
@@ -157,7 +155,10 @@ def net_delta(legs: Column, focus: Column) -> Column:
 
     def total(own: Column, token: Column) -> Column:
         same = F.filter(own, lambda leg: leg["token"] == token)
-        return F.aggregate(same, zero, add, lambda s: limbs_text(s["low"], s["mid"], s["top"]))
+        # Amounts beyond 86 digits, no uint256 but possible in event data, take a slower way.
+        texts = F.transform(same, lambda leg: signed_text(leg["amount"], leg["sign"]))
+        short = F.aggregate(same, zero, add, lambda s: limbs_text(s["low"], s["mid"], s["top"]))
+        return F.when(F.exists(same, lambda leg: _is_long(leg["amount"])), long_sum_text(texts)).otherwise(short)
 
     def per_token(own: Column) -> Column:
         tokens = F.array_distinct(F.transform(own, lambda leg: leg["token"]))
@@ -182,11 +183,22 @@ def _delta_rows(trace: DataFrame, legs: Column, id_cols: tuple[str, ...] | None)
         trace.select(*keys, legs.alias("_legs"), focus.alias("_focus"))
         .select(*keys, "_legs", F.explode("_focus").alias("addr"))
         .select(*keys, "addr", F.explode_outer(own).alias("_leg"))
-        .select(*keys, "addr", "_leg.token", limbs_of(F.col("_leg.amount"), F.col("_leg.sign")).alias("_limbs"))
+        .select(
+            *keys,
+            "addr",
+            "_leg.token",
+            limbs_of(F.col("_leg.amount"), F.col("_leg.sign")).alias("_limbs"),
+            F.when(_is_long(F.col("_leg.amount")), signed_text(F.col("_leg.amount"), F.col("_leg.sign"))).alias("_long"),
+        )
     )
     names = LIMBS.fieldNames()
-    sums = exploded.groupBy(*keys, "addr", "token").agg(*[F.sum(f"_limbs.{n}").alias(n) for n in names])
-    return sums.select(*keys, "addr", "token", limbs_text(F.col("low"), F.col("mid"), F.col("top")).alias("delta"))
+    # Amounts too long for limbs are rare; they are kept as they are, for one transaction and address.
+    sums = exploded.groupBy(*keys, "addr", "token").agg(
+        *[F.sum(f"_limbs.{n}").alias(n) for n in names], F.collect_list("_long").alias("_longs")
+    )
+    short = limbs_text(F.col("low"), F.col("mid"), F.col("top"))
+    whole = long_sum_text(F.concat("_longs", F.array(F.coalesce(short, F.lit("0")))))
+    return sums.select(*keys, "addr", "token", F.when(F.size("_longs") > 0, whole).otherwise(short).alias("delta"))
 
 
 def transfer_delta(trace: DataFrame, id_cols: tuple[str, ...] | None = None) -> DataFrame:
