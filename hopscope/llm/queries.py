@@ -135,4 +135,70 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
-ORACLES: dict[str, str] = {}
+
+# DuckDB. Words are runs without ASCII white space; \s there is exactly that set.
+_WORDS = """
+words as (
+  select doc_id, source, coalesce(text, '') as text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x09-\\x0D\\x20]+'), lambda x: x <> '') as w
+  from documents)"""
+
+_RULES_SQL = f"""
+with {_WORDS},
+places as (select doc_id, unnest(generate_series(1, len(w) - 2)) as i, w from words where len(w) > 2),
+windows as (select doc_id, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] as win from places),
+twice as (select doc_id, win from windows group by doc_id, win having count(*) > 1),
+repeated as (
+  select doc_id, count(distinct pos) as n from (
+    select doc_id, unnest([i, i + 1, i + 2]) as pos from windows join twice using (doc_id, win)) group by doc_id),
+measured as (
+  select words.doc_id, source, len(w) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
+    cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x09-\\x0D\\x20]')) as lines,
+    coalesce(n, 0) as n_repeat_words
+  from words left join repeated using (doc_id)),
+counted as (
+  select * exclude (lines), len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines from measured),
+failures as (
+  select *, n_words < 50 as short, 100 * n_repeat_words > 50 * n_words as repeats,
+    10 * n_symbols > 5 * n_words as symbols, 100 * n_dup_lines > 30 * n_lines as dup_lines from counted),
+long_form as (unpivot failures on short, repeats, symbols, dup_lines into name rule value failed),
+hosts as (
+  select source, rule, count(*)::double as n, count_if(failed)::double as f from long_form
+  where source is not null group by source, rule),
+totals as (
+  select rule, count(*) as hosts, sum(n) as n, sum(n * n) as nn, sum(f) as f, sum(f * f / n) as sq from hosts group by rule),
+spreads as (
+  select *, f / n as mean, case when n - nn / n > 0
+    then (sq - n * (f / n) * (f / n) - (hosts - 1) * (f / n) * (1 - f / n)) / (n - nn / n) else 0 end as between_hosts
+  from totals),
+priors as (
+  select rule,
+    case when f = 0 then 1e-6 when f = n then 1 + 1e-6 else mean * strength end as alpha,
+    case when f = 0 then 1 + 1e-6 when f = n then 1e-6 else (1 - mean) * strength end as beta
+  from (select *, case when between_hosts <= 0 then 1e9
+    else greatest(mean * (1 - mean) / between_hosts - 1, 1e-3) end as strength from spreads)),
+rejected as (
+  select distinct source from hosts join priors using (rule)
+  where (f + alpha) / (n + alpha + beta) > {rules.HOST_LIMIT})
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short or repeats as base_failed,
+  not (short or repeats) and coalesce(source not in (select source from rejected), true) as kept
+from failures"""
+
+_REPEATS_SQL = f"""
+with {_WORDS},
+starts as (select doc_id, unnest(generate_series(1, len(w) - {repeats.LENGTH - 1})) as i, w from words where len(w) >= {repeats.LENGTH}),
+windows as (select doc_id, i, md5(array_to_string(w[i : i + {repeats.LENGTH - 1}], ' ')) as win from starts),
+twice as (select win from windows group by win having count(*) > 1),
+gone as (
+  select distinct doc_id, unnest(generate_series(i, i + {repeats.LENGTH - 1})) as pos from windows semi join twice using (win)),
+places as (select doc_id, unnest(generate_series(1, len(w))) as pos, unnest(w) as word from words),
+kept as (
+  select doc_id, string_agg(word, ' ' order by pos) as text, count(*) as n
+  from places anti join gone using (doc_id, pos) group by doc_id)
+select words.doc_id, len(w) as n_words, len(w) - coalesce(n, 0) as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from words left join kept using (doc_id)"""
+
+# The others can't be told in SQL: iterated moves, classes, fitted models, token
+# ids, and positions of matches; the tests hold them against brute force.
+ORACLES: dict[str, str] = {"op3_quality_rules": _RULES_SQL, "op9_substring_dedup": _REPEATS_SQL}
