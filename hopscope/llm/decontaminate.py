@@ -65,7 +65,7 @@ def _around(tokens: np.ndarray, offsets: np.ndarray, at: np.ndarray, row: np.nda
 def _places(tokens: np.ndarray, offsets: np.ndarray, mask: int, there: np.ndarray | None):
     """(hashes, places, rows) of a mask within the texts; with ``there``, of hashes in the bit table only."""
     hashes = seed_hashes(tokens, mask)
-    at = np.arange(len(hashes)) if there is None else np.flatnonzero(there[(hashes >> _SLOT).astype(np.int64)])
+    at = np.arange(len(hashes)) if there is None else _may_occur(there, hashes)
     row = np.searchsorted(offsets, at, side="right") - 1
     inside = at + len(MASKS[mask]) <= offsets[row + 1]  # not over the end of its text
     return hashes[at[inside]], at[inside], row[inside]
@@ -90,12 +90,15 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bit_table(seeds: DataFrame) -> np.ndarray:
-    """Which hashes can occur: 2**FILTER_BITS bits, so at most 2**(FILTER_BITS - 6) longs reach the driver."""
-    slot = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    """Which hashes can occur, two bits each of 2**FILTER_BITS, so at most 2**(FILTER_BITS - 6) longs reach the driver."""
+    both = F.array(
+        F.shiftrightunsigned("hash", 64 - FILTER_BITS),
+        F.shiftrightunsigned(F.shiftleft("hash", FILTER_BITS), 64 - FILTER_BITS),
+    )
     rows = (
-        seeds.select(
-            F.shiftright(slot, 6).cast("int").alias("word"),
-            F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - FILTER_BITS}) & 63 as int))").alias("bit"),
+        seeds.select(F.explode(both).alias("slot"))
+        .select(
+            F.shiftright("slot", 6).cast("int").alias("word"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit")
         )
         .groupBy("word")
         .agg(F.bit_or("bit").alias("bits"))
@@ -106,6 +109,13 @@ def _bit_table(seeds: DataFrame) -> np.ndarray:
     return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
 
 
+def _may_occur(there: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes whose two bits are set."""
+    at = np.flatnonzero(there[(hashes >> _SLOT).astype(np.int64)])
+    second = (hashes[at] << np.uint64(FILTER_BITS)) >> _SLOT
+    return at[there[second.astype(np.int64)]]
+
+
 def _hits(shared):
     """Training hashes that pass the bit table, with the words around them."""
 
