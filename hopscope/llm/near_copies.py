@@ -222,8 +222,10 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **options
     # Rows that repeat key and text can't be told apart: one of them stays.
     twice = stage(found.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", "h"), "twice")
     if twice.isEmpty():
-        return packed.join(chosen, ["id", "h"], "left_semi").select("doc.*")
-    single = packed.join(chosen.join(twice, ["id", "h"], "left_anti"), ["id", "h"], "left_semi").select("doc")
+        # One plan at every size: what stays is nearly as many rows as there are, never a side to broadcast.
+        return packed.join(chosen.hint("merge"), ["id", "h"], "left_semi").select("doc.*")
+    once = chosen.join(twice, ["id", "h"], "left_anti").hint("merge")
+    single = packed.join(once, ["id", "h"], "left_semi").select("doc")
     repeated = packed.join(chosen.join(twice, ["id", "h"], "left_semi"), ["id", "h"], "left_semi")
     return single.unionByName(repeated.groupBy("id", "h").agg(F.first("doc").alias("doc")).select("doc")).select("doc.*")
 
