@@ -163,6 +163,9 @@ def identify(rows: DataFrame, model: Model | None) -> DataFrame:
     spread = F.array(*(F.lit(float(x)) for x in model.share))
     shared = rows.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*rows.select("ref", "declared", "host").schema.fields]).add("likelihood", ArrayType(DoubleType()))
+    # Only two or three letters are a declaration, which bounds how many there are.
+    plain = F.lower("declared")
+    rows = rows.withColumn("declared", F.when(plain.rlike("^[a-z]{2,3}$"), plain))
     weighed = rows.select("ref", "declared", "host", "text").mapInArrow(_weigh(shared), schema)
     alone = _normal(F.transform("likelihood", lambda x, i: x + F.log(F.get(spread, i))))
     labels = F.split(F.col("host"), "\\.")

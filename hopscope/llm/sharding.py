@@ -55,10 +55,11 @@ def number_rows(df: DataFrame, group: str, order: str, total: int) -> DataFrame:
 
 def _join_keys(members: DataFrame, keys: DataFrame, heavy: list) -> DataFrame:
     """Members with the row of their key; the few heavy keys are broadcast, the rest dealt by key."""
-    few = keys.filter(F.col("key").isin(heavy)) if heavy else keys.limit(0)
-    light = members.filter(~F.col("key").isin(heavy)) if heavy else members
-    out = light.join(keys, "key")
-    return out.unionByName(members.filter(F.col("key").isin(heavy)).join(F.broadcast(few), "key")) if heavy else out
+    if not heavy:
+        return members.join(keys, "key")
+    is_heavy = F.col("key").isin(heavy)
+    few = members.filter(is_heavy).join(F.broadcast(keys.filter(is_heavy)), "key")
+    return members.filter(~is_heavy).join(keys, "key").unionByName(few)
 
 
 def grants(requests: list[list[int]], sizes: list[int], quota: float) -> list[list[float]]:
@@ -85,10 +86,12 @@ def grants(requests: list[list[int]], sizes: list[int], quota: float) -> list[li
     return [list(share) for _ in range(n)]
 
 
-def propagate(members: DataFrame, total: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def propagate(
+    members: DataFrame, total: int, shards: int = SHARDS, rounds: int = ROUNDS, one_key: bool = False
+) -> DataFrame:
     """(row_key, shard, key) after the rounds, of memberships (row_key, key) with two or more members a key.
 
-    A row in several keys follows the key that pulls most. Only sums over pairs
+    A row in several keys follows the key that pulls most; ``one_key`` says that no row is. Only sums over pairs
     of shards reach the driver, and the names of heavy keys, fewer than 1024.
     """
     start = F.pmod(F.xxhash64("row_key", F.lit(3)), F.lit(shards)).cast("int")
@@ -129,8 +132,10 @@ def propagate(members: DataFrame, total: int, shards: int = SHARDS, rounds: int
         # Strictly more there than here without itself; ties go one way only, to the key's own first choice.
         stays = F.struct((own + 1).alias("pull"), F.xxhash64("key", F.col("shard")).alias("tie"), F.col("shard").alias("to"))
         at = at.withColumn("pull", F.when((F.col("best.to") != F.col("shard")) & (F.col("best") > stays), F.col("best.pull") - own))
-        pulls = at.groupBy("row_key").agg(F.max(F.struct("pull", "key")).alias("of")).select("row_key", F.col("of.key").alias("key"), F.col("of.pull").alias("most"))
-        asked = at.filter("pull is not null").join(pulls, ["row_key", "key"]) if _several(members) else at.filter("pull is not null")
+        asked = at.filter("pull is not null")
+        if not one_key:
+            most = asked.groupBy("row_key").agg(F.max(F.struct("pull", "key")).alias("of"))
+            asked = asked.join(most.select("row_key", F.col("of.key").alias("key")), ["row_key", "key"])
         asked = stage(asked.select("row_key", "key", "n", F.col("shard").alias("from"), F.col("best.to").alias("to")), "asked")
         requests = [[0] * shards for _ in range(shards)]
         for r in asked.groupBy("from", "to").agg(F.count(F.lit(1)).alias("n")).collect():
@@ -148,11 +153,6 @@ def propagate(members: DataFrame, total: int, shards: int = SHARDS, rounds: int
     return now
 
 
-def _several(members: DataFrame) -> bool:
-    """Whether a row may be in several keys; a caller marks one that can't by the column ``one``."""
-    return "one" not in members.columns
-
-
 def fill(rows: DataFrame, placed: DataFrame, total: int, shards: int = SHARDS) -> DataFrame:
     """(row_key, shard, slot) of all rows: ``placed`` (row_key, shard, key) as far as quotas go, the others where rows are missing."""
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
@@ -198,7 +198,7 @@ def assign_by_text(docs: DataFrame, text: str = "text", key: str = "doc_id", car
     groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     linked = stage(groups, "linked")
     heavy = [r.key for r in linked.filter(F.col("n") * _HEAVY > total).select("key").collect()]
-    members = _join_keys(rows.select("row_key", "key"), linked.select("key"), heavy).select("row_key", "key", F.lit(True).alias("one"))
-    placed = propagate(members, total, shards)
+    members = _join_keys(rows.select("row_key", "key"), linked.select("key"), heavy).select("row_key", "key")
+    placed = propagate(members, total, shards, one_key=True)
     found = fill(rows.select("row_key"), placed, total, shards)
     return rows.join(found, "row_key").select("doc", "size", "text_crc32", "shard", "slot")
