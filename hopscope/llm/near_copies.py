@@ -10,7 +10,8 @@ its members on the full shingle sets, by a product of matrices. What leaves a
 pair of blocks are sums of links per vertex and a spanning forest, never the
 pairs. So a link is lost only if the bands miss it and every path around it.
 
-Defined cases: a null text is alone in its class; blank texts have the empty
+Defined cases: a null text is alone in its class; a class in which no row has a key has a null id, and its
+distinct texts all stay in ``keep_one``; blank texts have the empty
 set and are copies of each other; repeated rows are exact copies; an empty table
 gives an empty result; extra columns are not looked at.
 """
@@ -133,18 +134,17 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def links_of_blocks(ids, weights, sets, side, threshold):
-    """Links among one family's rows: those of the first block with those of the second, or within one block.
+def links_of_blocks(ids, weights, sets, side, inner, threshold):
+    """Links among one family's rows: within one block (``inner``), or of those on side 0 with those on side 1.
 
     Yields (vertex, other or None, linked rows, linked sets): sums for each vertex, and the edges of a spanning forest.
     """
     one = np.flatnonzero(side == 0)
-    two = np.flatnonzero(side == 1)
-    inner = not len(two)
     if inner:
-        a, b = np.triu_indices(len(one), 1)
         two = one
+        a, b = np.triu_indices(len(one), 1)
     else:
+        two = np.flatnonzero(side == 1)
         a, b = (x.ravel() for x in np.indices((len(one), len(two))))
     if not len(a):
         return
@@ -182,7 +182,7 @@ def links_of_blocks(ids, weights, sets, side, threshold):
 
 def _verify(threshold: float):
     def run(group: pa.Table) -> pa.Table:
-        out = []
+        out, inner = [], group.column("i")[0] == group.column("j")[0]
         family = np.array(group.column("family").to_pylist(), object)
         order = np.array(sorted(range(len(family)), key=family.__getitem__), np.int64)
         ids = group.column("vertex").to_pylist()
@@ -192,7 +192,7 @@ def _verify(threshold: float):
         cuts = np.flatnonzero(np.concatenate([[True], family[order][1:] != family[order][:-1], [True]]))
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             at = order[lo:hi]
-            out += links_of_blocks([ids[i] for i in at], weights[at], [sets[i] for i in at], side[at], threshold)
+            out += links_of_blocks([ids[i] for i in at], weights[at], [sets[i] for i in at], side[at], inner, threshold)
         columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
         kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
         return pa.Table.from_arrays(
