@@ -5,12 +5,17 @@ places, so words replaced there don't hide a passage. Test and training hashes
 are joined on (mask, hash), and each hit is verified: along its diagonal the
 words around it are compared with the item's, and a stretch of at least
 ``span`` words (or the whole item, if that is shorter) in which ``share`` of the
-words agree, the hit among them, is a leak.
+words agree, the first and last among them, is a leak.
+
+The masks miss no leak. A stretch of 13 words or more, 80 % equal, holds one of
+13, 15, 20 or 25 words with at most 2, 3, 4 or 5 replaced, and ``MASKS`` hit each
+of those wherever the replaced words stand (the tests enumerate them). An item of
+fewer words is a leak as a whole only, and its masks are as long as itself.
 
 Words are compared in lower case without punctuation at their ends. Defined
-cases: a null or blank text has no hits; items of fewer words than the shortest
-mask can't be found and are left out; repeated rows are judged one by one;
-empty tables give rows without leaks; extra columns are not looked at.
+cases: a null or blank text has no hits; items of one or two words
+(``SHORTEST``) are everyday phrases and left out; repeated rows are judged one by
+one; empty tables give rows without leaks; extra columns are not looked at.
 
 Scale: training hashes that can't be in the test set are dropped inside the
 scan by a bit table of fixed size, built with partial sums over the test
@@ -33,9 +38,22 @@ from hopscope.llm.rows import keyed
 from hopscope.sources.staging import stage
 
 # Places that count (1) and places that don't (0).
-MASKS = ("11111111", "110110110101", "1101001100101011")
+MASKS = ("11101011", "11001000111", "1101000001101", "110001100011")
 SPAN = 13
 SHARE = 0.8
+SHORTEST = 3
+
+
+def whole_masks(size: int, share: float = SHARE) -> list[str]:
+    """Masks of a whole item: its inner words in one block more than words may be replaced; each mask looks at one block."""
+    inner = np.arange(size - 2)
+    blocks = int(size * (1 - share) + 1e-9) + 1
+    block = inner * blocks // len(inner)
+    return ["1" + "".join("01"[int(x)] for x in block == k) + "1" for k in range(blocks)]
+
+
+# Those of whole items of fewer words than ``SPAN`` follow.
+SHAPES = (*MASKS, *(shape for size in range(SHORTEST, SPAN) for shape in whole_masks(size)))
 FILTER_BITS = 22
 AROUND = 24  # words kept on both sides of a hit; ``span`` is at most this
 _SLOT = np.uint64(64 - FILTER_BITS)
@@ -43,7 +61,7 @@ _SLOT = np.uint64(64 - FILTER_BITS)
 
 def seed_hashes(tokens: np.ndarray, mask: int) -> np.ndarray:
     """Hash of the places of a mask from each start at which the whole mask fits."""
-    shape = MASKS[mask]
+    shape = SHAPES[mask]
     n = len(tokens) - len(shape) + 1
     out = np.full(max(n, 0), mask + 1, np.uint64)
     for k, mark in enumerate(shape):
@@ -67,7 +85,7 @@ def _places(tokens: np.ndarray, offsets: np.ndarray, mask: int, there: np.ndarra
     hashes = seed_hashes(tokens, mask)
     at = np.arange(len(hashes)) if there is None else _may_occur(there, hashes)
     row = np.searchsorted(offsets, at, side="right") - 1
-    inside = at + len(MASKS[mask]) <= offsets[row + 1]  # not over the end of its text
+    inside = at + len(SHAPES[mask]) <= offsets[row + 1]  # not over the end of its text
     return hashes[at[inside]], at[inside], row[inside]
 
 
@@ -75,14 +93,17 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each mask and start in an item, with the words around it and the length of the item."""
     for batch in words.slices(batches, "text"):
         tokens, offsets = words.plain_hashes(batch.column("text"))
-        for mask, shape in enumerate(MASKS):
+        sizes = np.diff(offsets)
+        for mask, shape in enumerate(SHAPES):
             hashes, at, row = _places(tokens, offsets, mask, None)
+            fits = sizes[row] >= SPAN if mask < len(MASKS) else sizes[row] == len(shape)
+            hashes, at, row = hashes[fits], at[fits], row[fits]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("item").take(pa.array(row)),
                     pa.array(np.full(len(at), mask, np.int32)),
                     pa.array(hashes.view(np.int64)),
-                    pa.array(np.diff(offsets)[row]),
+                    pa.array(sizes[row]),
                     _around(tokens, offsets, at, row, len(shape)),
                 ],
                 names=["item", "mask", "hash", "size", "words"],
@@ -116,15 +137,27 @@ def _may_occur(there: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return at[there[second.astype(np.int64)]]
 
 
-def _hits(shared):
-    """Training hashes that pass the bit table, with the words around them."""
+def _last(hashes: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The last place of each hash in each row."""
+    order = np.lexsort((hashes, row))
+    end = np.ones(len(order), bool)
+    end[:-1] = (np.diff(row[order]) != 0) | (np.diff(hashes[order]) != 0)
+    return np.sort(order[end])
+
+
+def _hits(shared, used: list[int]):
+    """Training hashes of the used masks that pass the bit table, with the words around them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         there = shared.value
         for batch in words.slices(batches, "text"):
             tokens, offsets = words.plain_hashes(batch.column("text"))
-            for mask, shape in enumerate(MASKS):
+            for mask in used:
+                shape = SHAPES[mask]
                 hashes, at, row = _places(tokens, offsets, mask, there)
+                if mask >= len(MASKS) and "0" not in shape:  # a whole item word for word: once a row is enough
+                    one = _last(hashes, row)
+                    hashes, at, row = hashes[one], at[one], row[one]
                 if not len(at):
                     continue
                 take = pa.array(row)
@@ -199,14 +232,15 @@ def find_leaks(
     share: float = SHARE,
 ) -> DataFrame:
     """(id, h, item, n_words, n_equal, start): the longest leak of each item in each row (``rows.keyed``)."""
-    if span > AROUND:
-        raise ValueError(f"span is at most {AROUND} words")
+    if not SPAN <= span <= AROUND or share < SHARE:
+        raise ValueError(f"the masks find stretches from {SPAN} words and a share of {SHARE} on; span is at most {AROUND} words")
     spark = docs.sparkSession
     rows = items.select(items[f"`{item_key}`"].cast("string").alias("item"), items[f"`{item_text}`"].alias("text"))
     seeds = stage(rows.mapInArrow(_item_seeds, "item string, mask int, hash bigint, size bigint, words array<bigint>"), "test-seeds")
     shared = spark.sparkContext.broadcast(_bit_table(seeds))
+    used = sorted(r.mask for r in seeds.select("mask").distinct().collect())
     texts = keyed(docs, text, key).select("id", "h", "text")
-    hits = texts.mapInArrow(_hits(shared), "id string, h bigint, mask int, hash bigint, place bigint, near array<bigint>")
+    hits = texts.mapInArrow(_hits(shared, used), "id string, h bigint, mask int, hash bigint, place bigint, near array<bigint>")
     pairs = hits.join(seeds, ["mask", "hash"]).select("id", "h", "item", "size", "place", "near", "words")
     leaks = pairs.mapInArrow(
         _verify(span, share), "id string, h bigint, item string, n_words bigint, n_equal bigint, start bigint"
