@@ -113,10 +113,11 @@ def find_parts(packed: DataFrame, text: str) -> DataFrame:
 def link_parts(found: DataFrame, reach: int = REACH) -> DataFrame:
     """(row key, linked spans) of documents that have weak parts with complements.
 
-    Interval join: parts are bucketed by position in steps of ``reach``. One row
-    per (document, scope, bucket) keeps the outermost ends of each role, which
-    decides any neighbour exactly, so a part meets three rows at most however
-    many parts a document has.
+    Interval join: parts are bucketed by position in steps of ``reach``, a long
+    part in each bucket it touches. One row per (document, scope, bucket) keeps
+    the outermost ends of each role, which decides any neighbour exactly, so a
+    part meets the buckets it touches and one on either side, however many parts
+    a document has.
     """
     parts = found.filter(F.size("loose") > 0).select(
         "row_id", "row_hash", "breaks", F.explode(F.concat("base", "loose")).alias("s")
@@ -126,20 +127,17 @@ def link_parts(found: DataFrame, reach: int = REACH) -> DataFrame:
         "row_hash",
         F.size(F.filter("breaks", lambda b: b < F.col("s")["start"])).alias("scope"),
         "s",
-        F.floor(F.col("s")["start"] / reach).alias("bucket"),
     ).distinct()
     kind, start, end = F.col("s")["kind"], F.col("s")["start"], F.col("s")["end"]
     ident, secret = kind.isin(*IDENTIFIERS), kind.isin(*SECRETS)
-    roles = parts.groupBy("row_id", "row_hash", "scope", "bucket").agg(
+    touched = lambda more: F.explode(F.sequence(F.floor(start / reach) - more, F.floor(end / reach) + more))
+    roles = parts.filter(ident | secret).withColumn("bucket", touched(0)).groupBy("row_id", "row_hash", "scope", "bucket").agg(
         F.min(F.when(ident, start)).alias("id_first"),
         F.max(F.when(ident, end)).alias("id_last"),
         F.min(F.when(secret, start)).alias("secret_first"),
         F.max(F.when(secret, end)).alias("secret_last"),
     )
-    # A long part reaches over several buckets: meet it in each it touches.
-    wanted = parts.filter(kind.isin(*KINDS[3:])).withColumn(
-        "near", F.explode(F.sequence(F.floor(start / reach) - 1, F.floor((end - 1) / reach) + 1))
-    )
+    wanted = parts.filter(kind.isin(*KINDS[3:])).withColumn("near", touched(1))
     meets = wanted.alias("w").join(
         roles.alias("r"),
         F.col("w.row_id").eqNullSafe(F.col("r.row_id"))
