@@ -209,10 +209,12 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", **opti
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """One document of each class, the one of the least key, with its own columns only."""
-    found = stage(classes(docs, text, key, **options).select("key", "id", "h", "class_id"), "classes")
+    found = stage(_classed(docs, text, key, **options).select("key", "id", "h", "class", "class_id"), "classes")
+    # A class is known by its vertex: keys may repeat, so its least key can be that of another class, too.
+    one = found.filter("class_id is not null and class is not null").groupBy("class")
+    one = one.agg(F.min(F.struct(F.col("key").isNull(), "key", "id", "h")).alias("one"))
     # Rows without a text are not copies of anything, whatever their keys.
-    one = found.filter("class_id is not null").groupBy("class_id").agg(F.min(F.struct(F.col("key").isNull(), "key", "id", "h")).alias("one"))
-    plain = found.filter("class_id is null").select("id", "h")
+    plain = found.filter("class_id is null or class is null").select("id", "h")
     chosen = stage(one.select("one.id", "one.h").unionByName(plain).distinct(), "chosen")
     packed = docs.select(
         F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("doc"),
@@ -220,7 +222,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **options
         F.xxhash64(docs[f"`{text}`"]).alias("h"),
     )
     # Rows that repeat key and text can't be told apart: one of them stays.
-    twice = stage(found.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", "h"), "twice")
+    twice = stage(found.filter("class is not null").groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", "h"), "twice")
     if twice.isEmpty():
         # One plan at every size: what stays is nearly as many rows as there are, never a side to broadcast.
         return packed.join(chosen.hint("merge"), ["id", "h"], "left_semi").select("doc.*")
@@ -230,14 +232,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **options
     return single.unionByName(repeated.groupBy("id", "h").agg(F.first("doc").alias("doc")).select("doc")).select("doc.*")
 
 
-def classes(
-    docs: DataFrame,
-    text: str = "text",
-    key: str = "doc_id",
-    threshold: float = THRESHOLD,
-    recall: float = RECALL,
-    size: int = SHINGLE,
-) -> DataFrame:
+def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """(key, id, h, class_id, n_copies, n_links, n_linked_texts), one row for each row of ``docs`` (``rows.keyed``).
 
     ``class_id``: least key of all rows that links and equal sets connect;
@@ -245,6 +240,18 @@ def classes(
     above the threshold, equal sets included; ``n_linked_texts``: other
     distinct sets among them.
     """
+    return _classed(docs, text, key, **options).drop("class")
+
+
+def _classed(
+    docs: DataFrame,
+    text: str = "text",
+    key: str = "doc_id",
+    threshold: float = THRESHOLD,
+    recall: float = RECALL,
+    size: int = SHINGLE,
+) -> DataFrame:
+    """The rows of ``classes`` with ``class``, the vertex a class is known by; null for a null text, which is in none."""
     bands, rows = choose_bands(threshold, recall)
     texts = keyed(docs, text, key)
     kind = docs.schema[key].dataType.simpleString()
@@ -307,10 +314,11 @@ def classes(
     classes = components(found.filter("other is not null").select(F.col("vertex").alias("a"), F.col("other").alias("b")))
     least = classes.join(vertices, "vertex").groupBy("component").agg(F.min("least").alias("class_id"))
     linked = stage(
-        classes.join(least, "component").join(counts, "vertex").select("vertex", "class_id", "rows", "texts"), "linked"
+        classes.join(least, "component").join(counts, "vertex").select("vertex", "component", "class_id", "rows", "texts"), "linked"
     )
     known = vertices.join(linked, "vertex", "left").select(
         "vertex",
+        F.coalesce("component", "vertex").alias("class"),
         F.coalesce("class_id", "least").alias("class_id"),
         (F.col("copies") - 1).alias("n_copies"),
         (F.coalesce("rows", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
@@ -318,7 +326,7 @@ def classes(
     )
     out = signed.select("key", "id", "h", "vertex").join(known, "vertex").drop("vertex")
     none = texts.filter("text is null").select(
-        "key", "id", "h", F.col("key").alias("class_id"), *(F.lit(0).cast("long").alias(c) for c in ("n_copies", "n_links", "n_linked_texts"))
+        "key", "id", "h", F.lit(None).cast("binary").alias("class"), F.col("key").alias("class_id"), *(F.lit(0).cast("long").alias(c) for c in ("n_copies", "n_links", "n_linked_texts"))
     )
     return out.unionByName(none)
 

@@ -1,0 +1,37 @@
+"""One row of each class stays, also where keys repeat."""
+
+import collections
+
+from hopscope.llm import near_copies
+from tests.llm.conftest import odd_rows, sentence
+from tests.llm.test_repeats_near import shingles
+
+
+def distinct_classes(texts):
+    """Sets of texts that links and equal shingle sets connect."""
+    groups = []
+    for text in texts:
+        own = shingles(text)
+        near = [g for g in groups if any(own == x or len(own & x) >= 0.8 * len(own | x) for x in map(shingles, g))]
+        groups = [g for g in groups if g not in near] + [{text}.union(*near)]
+    return groups
+
+
+def test_every_class_keeps_a_row(odd):
+    rows = [r[:2] for r in odd_rows()]
+    kept = [tuple(r) for r in near_copies.keep_one(odd).select("doc_id", "text").collect()]
+    assert not collections.Counter(kept) - collections.Counter(rows)
+    for group in distinct_classes({t for _, t in rows if t is not None}):
+        assert sum(t in group for _, t in kept) == 1, group
+    assert sorted(map(str, kept)) == sorted(set(map(str, kept)))
+    assert sum(t is None for _, t in kept) == sum(t is None for _, t in rows)
+
+
+def test_clashing_keys(small):
+    """One key for unrelated classes and for rows without a text."""
+    near = sentence(99, 1, 7000)
+    rows = [(1, sentence(50)), (1, sentence(50, 1, 9000)), (1, near + " end"), (2, near + " other"), (3, near + " end")]
+    rows += [(1, None), (1, None), (None, None), (None, None), (4, "short one"), (4, "short one"), (4, "another")]
+    kept = [tuple(r) for r in near_copies.keep_one(small(rows)).select("doc_id", "text").collect()]
+    want = [rows[0], rows[1], rows[2], *rows[5:10], rows[11]]
+    assert sorted(map(str, kept)) == sorted(map(str, want))
