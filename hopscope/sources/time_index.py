@@ -58,6 +58,15 @@ def _bounds_from_column(parquet, column: str):
     return lo, hi
 
 
+def _not_parquet(source) -> bool:
+    """Whether the end of an open file shows that it is no parquet. Failing to open or read a file shows nothing."""
+    size = source.size()
+    source.seek(max(size - 4, 0))
+    end = source.read(4)
+    source.seek(0)
+    return size < 12 or end not in (b"PAR1", b"PARE")
+
+
 def _indexer(column: str, carried: Sequence[str]):
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
@@ -65,17 +74,17 @@ def _indexer(column: str, carried: Sequence[str]):
         for batch in batches:
             rows = []
             for path in batch["path"]:
-                opened = False
+                foreign = False
                 try:
                     with open_uri(path) as source:
+                        foreign = _not_parquet(source)
                         parquet = pq.ParquetFile(source)
-                        opened = True
                         bounds, method = _bounds_from_footer(parquet, column), "metadata"
                         if bounds is None:
                             bounds, method = _bounds_from_column(parquet, column), "read_column"
                     rows.append((str(bounds[0]), str(bounds[1]), method, None))
                 except Exception as problem:
-                    rows.append((None, None, None, str(problem) if opened else f"{UNREADABLE}: {problem}"))
+                    rows.append((None, None, None, f"{UNREADABLE}: {problem}" if foreign else str(problem)))
             found = pd.DataFrame(rows, columns=["lo", "hi", "method", "error"], index=batch.index)
             yield pd.concat([batch[list(carried)], found], axis=1)
 
@@ -206,8 +215,9 @@ def files_to_read(
 
     Chosen are the indexed files that overlap a day and the files the index has
     as errors. Files of the folder that it does not list are indexed on the way;
-    one of them that is no parquet at all is left out with a warning. Only file
-    names reach the driver.
+    one of them whose bytes are no parquet is left out with a warning, one that
+    could not be opened is chosen, since Spark may. Only file names reach the
+    driver.
     """
     folder = f"{root.rstrip('/')}/{chain}/{target}"
     mine = None if index is None else index.filter((F.col("chain") == chain) & (F.col("dataset") == target))
