@@ -1,9 +1,9 @@
 """Toxicity by two class-conditional Kneser-Ney bigram models over word stems.
 
 An expression is a pair of stems, the first letters of words. Each class counts
-its pairs; a pair backs off to counts that both classes share, weighted by the
-stem's own ratio, and a stem backs off to how many different stems it follows in
-the whole corpus, labelled or not. The classes are counted on equally many rows,
+its pairs; a pair backs off to the pair's counts in the whole corpus, labelled or
+not, weighted by the stem's own ratio, and a stem backs off to how many different
+stems it follows there. The classes are counted on equally many rows,
 so that their backoff weights are alike. A text's score rests on the difference
 of the two log-likelihoods, of both orders, less the median over its words,
 which language and topic add to every word alike; it is divided by the number of
@@ -12,7 +12,8 @@ in the counts makes it a probability.
 
 Stems live in ``2**STEM_BITS`` hashed slots, pairs in ``2**PAIR_BITS``, so the
 model has a fixed size whatever the corpus. Class counts come from at most
-``labels.MOST_PER_CLASS`` rows of each class, the backoff of stems from all rows.
+``labels.MOST_PER_CLASS`` rows of each class, the backoff of pairs and stems from
+all rows: each task adds up its pairs, Spark the sums of the tasks.
 
 Defined cases: null and blank texts get the score of a mean difference of 0;
 without labels of both classes every score is 0.5; repeated rows are scored
@@ -42,6 +43,8 @@ PAIR_DISCOUNT, PAIR_STRENGTH = 2.0, 50.0
 _START = 0  # slot of the start of a text
 _ALONE = -1  # in place of a neighbour: rows of single stems
 _CLASSES = ("ordinary", "toxic")
+_POOL = len(_CLASSES)  # for rows that count in the shared counts only
+_MOST_HELD = 1 << 21  # words, and different pairs, that a task adds up before it hands them on
 
 
 def slots(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -78,56 +81,66 @@ def different(sketch: np.ndarray) -> np.ndarray:
 
 
 def _gather(shared):
-    """Corpus counts: sketches of all words, and pair counts of the sampled rows of each class."""
+    """Corpus counts: sketches and pair counts of all rows, and pair counts of the sampled rows of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         role = shared.value
         seen = np.zeros((1 << STEM_BITS) * _LEVELS * _CELLS, bool)
         alone = np.zeros((2, 1 << STEM_BITS), np.int64)
+        sums = np.zeros(0, np.int64), np.zeros(0, np.int64)  # pairs with their class, times
         pairs: list[np.ndarray] = []
 
-        def flush():
+        def add():
             code, times = np.unique(np.concatenate(pairs) if pairs else np.zeros(0, np.int64), return_counts=True)
             pairs.clear()
-            toxic = code & 1
-            yield _rows(code >> 1 + STEM_BITS, code >> 1 & (1 << STEM_BITS) - 1, times * (1 - toxic), times * toxic)
+            code, at = np.unique(np.concatenate([sums[0], code]), return_inverse=True)
+            total = np.zeros(len(code), np.int64)
+            np.add.at(total, at, np.concatenate([sums[1], times]))
+            return code, total
+
+        def rows_of(code, times):
+            of, pair = code & 3, code >> 2
+            return _rows(pair >> STEM_BITS, pair & (1 << STEM_BITS) - 1, times * (of == 0), times * (of == 1), times)
 
         held = 0
         for batch in words.slices(batches, "text"):
             stem, before, offsets = slots(batch.column("text"))
             seen[_cells(before, stem)] = True
             known = [role.get(k, (0, True)) for k in batch.column("id").to_pylist()]
-            per_word = np.repeat(np.array([-1 if c else v for v, c in known], np.int64), np.diff(offsets))
-            use = np.flatnonzero(per_word >= 0)
-            of = per_word[use]
-            pairs.append((before[use] << STEM_BITS | stem[use]) << 1 | of)
-            np.add.at(alone, (of, stem[use]), 1)
-            held += len(use)
-            if held > 1 << 21:
-                yield from flush()
-                held = 0
-        yield from flush()
+            of = np.repeat(np.array([_POOL if c else v for v, c in known], np.int64), np.diff(offsets))
+            pairs.append((before << STEM_BITS | stem) << 2 | of)
+            use = np.flatnonzero(of != _POOL)
+            np.add.at(alone, (of[use], stem[use]), 1)
+            held += len(stem)
+            if held > _MOST_HELD:
+                sums, held = add(), 0
+                if len(sums[0]) > _MOST_HELD:
+                    yield rows_of(*sums)
+                    sums = sums[0][:0], sums[1][:0]
+        sums = add()
+        yield rows_of(*sums)
         packed = np.packbits(seen, bitorder="little").view(np.int64).reshape(1 << STEM_BITS, 2)
         some = np.flatnonzero(packed.any(axis=1))
-        yield _rows(np.full(len(some), _ALONE), some, *alone[:, some], packed[some, 0], packed[some, 1])
+        none = np.zeros(len(some), np.int64)
+        yield _rows(np.full(len(some), _ALONE), some, *alone[:, some], none, packed[some, 0], packed[some, 1])
 
     return run
 
 
-def _rows(before, stem, ordinary, toxic, low=None, high=None) -> pa.RecordBatch:
+def _rows(before, stem, ordinary, toxic, pool, low=None, high=None) -> pa.RecordBatch:
     none = np.zeros(len(stem), np.int64)
-    columns = (ordinary, toxic, none if low is None else low, none if high is None else high)
+    columns = (ordinary, toxic, pool, none if low is None else low, none if high is None else high)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.asarray(x).astype(np.int32)) for x in (before, stem)] + [pa.array(np.asarray(x).astype(np.int64)) for x in columns],
-        names=["before", "stem", "ordinary", "toxic", "low", "high"],
+        names=["before", "stem", *_CLASSES, "pool", "low", "high"],
     )
 
 
 class Model(NamedTuple):
     """Arrays by slot; where there are two, the first is of the ordinary class."""
 
-    pair: np.ndarray  # discounted counts of pairs: both classes, then their pool
-    after: np.ndarray  # words after a stem, both classes, then their pool
+    pair: np.ndarray  # discounted counts of pairs: both classes, then the whole corpus
+    after: np.ndarray  # words after a stem, both classes, then the whole corpus
     left: np.ndarray  # of these, what the discounts leave to the backoff
     ratio: np.ndarray  # share of a stem in a class, by its shared share
     shared: np.ndarray  # share of a stem in the backoff of both classes
@@ -169,10 +182,10 @@ def count_model(texts: DataFrame, role: dict[str, tuple[int, bool]]) -> Model:
     What reaches the driver is bounded by the slots.
     """
     shared = texts.sparkSession.sparkContext.broadcast(role)
-    rows = texts.mapInArrow(_gather(shared), "before int, stem int, ordinary bigint, toxic bigint, low bigint, high bigint")
+    rows = texts.mapInArrow(_gather(shared), "before int, stem int, ordinary bigint, toxic bigint, pool bigint, low bigint, high bigint")
     counts = stage(
         rows.groupBy("before", "stem").agg(
-            *(F.sum(c).alias(c) for c in _CLASSES), *(F.bit_or(c).alias(c) for c in ("low", "high"))
+            *(F.sum(c).alias(c) for c in (*_CLASSES, "pool")), *(F.bit_or(c).alias(c) for c in ("low", "high"))
         ),
         "lm-counts",
     )
@@ -189,7 +202,7 @@ def count_model(texts: DataFrame, role: dict[str, tuple[int, bool]]) -> Model:
         cut = np.maximum(alone[i] - (once / (once + 2 * twice) if once and twice else 0.5), 0) / max(alone[i].sum(), 1.0)
         ratio[i] = cut / shared_stem + 1 - cut.sum()
 
-    pairs = counts.filter(F.col("before") != _ALONE).withColumn("pool", F.col("ordinary") + F.col("toxic"))
+    pairs = counts.filter(F.col("before") != _ALONE)
     kinds = (*_CLASSES, "pool")
     kept = {c: F.greatest(F.col(c) - F.lit(PAIR_DISCOUNT), F.lit(0.0)) for c in kinds}
     sums = pairs.groupBy("before").agg(
