@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hopscope.llm import bpe, decontaminate, labels, language, near_copies, preferences, repeats, rules, secrets, sharding, toxicity
+from hopscope.llm import (
+    bpe,
+    decontaminate,
+    labels,
+    language,
+    near_copies,
+    periodic_runs,
+    preferences,
+    repeats,
+    rules,
+    secrets,
+    sharding,
+    token_counts,
+    toxicity,
+    whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,6 +138,53 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in every tenth document by crc32(doc_id) the words from a place on repeat with a period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    planted = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    n = F.size("w")
+    a = (F.col("g") % F.nullif(n, F.lit(0))).cast("int")
+    p = (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("w", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    made = F.array_join(F.concat(F.slice("w", 1, a), F.slice(tail, 1, n - a)), " ")
+    return planted.select("doc_id", F.when(n > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(table(spark, sf_dir, "documents"))
+    found = periodic_runs.find_runs(docs, carry=["doc_id"])
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    best = F.col("best")
+    return found.withColumn("best", periodic_runs.longest(F.col("runs"))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), carry=["doc_id"])
+
+
+WHITENED = "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double"
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    if model is None:
+        return spark.createDataFrame([], WHITENED)
+    rows = whitening.by_component(whitening.whiten(vectors, model, carry=["vec_id"]), model)
+    return rows.select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
 QUERIES = {
     "op1_balanced_sharding": op1_balanced_sharding,
     "op2_secret_scans": op2_secret_scans,
@@ -134,6 +196,9 @@ QUERIES = {
     "op8_language_fusion": op8_language_fusion,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_counts": op12_token_counts,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 # DuckDB. Words are runs without ASCII white space; \s there is exactly that set.
