@@ -435,6 +435,12 @@ ORACLES["read_for_range"] = f"""
 {_with(_BASE)} select chain, transaction_hash, to_address from transactions
 where chain = 'eth' and block_timestamp >= timestamp '2024-01-10' and block_timestamp < timestamp '2024-01-11'"""
 
+ORACLES["read_time_index_json"] = ORACLES["read_for_range"]
+
+ORACLES["index_read_column"] = f"""
+{_with(_BASE)} select 'eth' as chain, 'transactions' as dataset, {_iso('min(block_timestamp)')} as min_ts,
+  {_iso('max(block_timestamp)')} as max_ts, 'read_column' as method, cast(null as varchar) as error from transactions"""
+
 # Schema profile
 
 _TABLES = ", ".join(

@@ -533,6 +533,26 @@ def read_for_range(spark, d):
     return rows.filter((ts >= start) & (ts < end)).select("chain", "transaction_hash", "to_address")
 
 
+@query
+def read_time_index_json(spark, d):
+    """The same through an index stored as JSON summaries, which name files by plain paths."""
+    start, end = _utc("2024-01-10 00:00:00"), _utc("2024-01-11 00:00:00")
+    root = fx.write_lake(spark, d)
+    hs.write_time_index_json(hs.build_time_index(spark, root, fx.CHAINS), root, f"{root}/time_indexes")
+    rows = hs.read_for_range(spark, hs.read_time_index(spark, f"{root}/time_indexes"), root, "eth", start, end, strict=True)
+    ts = fn.to_utc_ts(F.col("block_timestamp"), rows.schema["block_timestamp"].dataType)
+    return rows.filter((ts >= start) & (ts < end)).select("chain", "transaction_hash", "to_address")
+
+
+@query
+def index_read_column(spark, d):
+    """Span of files without statistics, from the column itself."""
+    root = f"{fx.write_lake(spark, d)}/bare/eth/transactions"
+    fx.transactions(spark, d).select("block_timestamp").coalesce(1).write.option("parquet.column.statistics.enabled", "false").parquet(root)
+    listed = list_parquet(spark, [root]).select("path", F.lit("eth").alias("chain"), F.lit("transactions").alias("dataset"))
+    return index_files(listed).select("chain", "dataset", "min_ts", "max_ts", "method", "error")
+
+
 # Schema profile of the stored tables
 
 

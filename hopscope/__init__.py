@@ -47,6 +47,7 @@ from .sources.time_index import (
     select_files,
     time_index_summary,
     write_time_index,
+    write_time_index_json,
 )
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -1,7 +1,7 @@
 """The two pipelines over a stored lake, reading only the files that can matter.
 
-A window asks for (chain, day) pairs. They pick the files of the transactions,
-and the days of the kept actions pick those of the events.
+A window asks for (chain, day) pairs. They pick the files of the transactions
+and those of the events.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from ..operators.trace import explode_actions
 from ..sources.files import path_exists
 from ..sources.staging import stage
 from ..sources.tables import unite_events, unite_transactions
-from ..sources.time_index import files_to_read, read_files
+from ..sources.time_index import choose_files, read_chosen
 from .episode_plan import build_episodes
 from .trace_plan import build_action_trace
 
@@ -55,13 +55,11 @@ def read_days(
     """
     days = stage(days, "days")
     wanted = list(chains) or sorted(r.chain for r in days.select("chain").distinct().collect())
-    out = []
-    for chain in wanted:
-        if not path_exists(spark, f"{root.rstrip('/')}/{chain}/{target}"):
-            continue
-        files = files_to_read(spark, index, root, chain, target, days.filter(F.col("chain") == chain), force_time_index)
-        out.append((chain, read_files(spark, root, chain, target, files)))
-    return out
+    there = [c for c in wanted if path_exists(spark, f"{root.rstrip('/')}/{c}/{target}")]
+    if not there:
+        return []
+    chosen, known = choose_files(spark, index, root, target, there, days, force_time_index)
+    return [(c, read_chosen(spark, root, c, target, chosen if c in known else None)) for c in there]
 
 
 def build_episodes_from_lake(
@@ -75,14 +73,14 @@ def build_episodes_from_lake(
     """``build_episodes`` over ``<root>/<chain>/transactions`` and ``decoded_events``.
 
     With ``force_time_index`` a chain without an index, or without a file in
-    the range, raises.
+    the range, raises, for transactions and for events.
     """
     days = window_days(receipts, config)
     tx = unite_transactions(spark, read_days(spark, root, "transactions", days, index, (), force_time_index))
     events = None
     if config.enrich_events:
         # Actions lie in the windows, so their days are among these.
-        events = unite_events(read_days(spark, root, "decoded_events", days, index))
+        events = unite_events(read_days(spark, root, "decoded_events", days, index, (), force_time_index))
     return build_episodes(receipts, tx, events, config)
 
 
@@ -99,5 +97,5 @@ def build_action_trace_from_lake(
     ts = to_utc_ts(F.col("action_ts"), actions.schema["action_ts"].dataType)
     days = _days(actions.select("chain", ts.alias("w0"), ts.alias("w1")))
     tx = unite_transactions(spark, read_days(spark, root, "transactions", days, index, (), force_time_index))
-    events = unite_events(read_days(spark, root, "decoded_events", days, index))
+    events = unite_events(read_days(spark, root, "decoded_events", days, index, (), force_time_index))
     return build_action_trace(episodes, tx, events, config)

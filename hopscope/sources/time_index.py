@@ -15,6 +15,8 @@ from .staging import stage
 TIMESTAMP_COL = "block_timestamp"
 TARGETS = ("transactions", "decoded_events", "logs")
 UNREADABLE = "unreadable"
+_NAMED = 20  # file names in a warning
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of rows without a partition value
 RAW_SCHEMA = "lo string, hi string, method string, error string"
 
 
@@ -178,6 +180,41 @@ def write_time_index(index: DataFrame, path: str) -> None:
     index.write.mode("overwrite").parquet(path)
 
 
+def write_time_index_json(index: DataFrame, base_dir: str, path: str) -> None:
+    """One ``<chain>_<dataset>_time_index.json`` in ``path`` for each chain and dataset.
+
+    A summary names all files of its dataset in one document, which is the
+    format; ``write_time_index`` has no such bound.
+    """
+    spark = index.sparkSession
+    entry = F.struct("min_ts", "max_ts", F.regexp_replace("file", "^file:/+", "/").alias("file"), "rel_file", "timestamp_col", "method", "error")
+    parts = index.groupBy("chain", "dataset").agg(F.array_sort(F.collect_list(entry)).alias("all"), F.max("timestamp_col").alias("timestamp_col"))
+    good, bad = (F.filter("all", lambda x: test(x["error"])) for test in (F.isnull, F.isnotnull))
+
+    def listed(entries: Column, names: Sequence[str]) -> Column:
+        own = {n: F.col(n) for n in ("chain", "dataset")}
+        return F.transform(entries, lambda x: F.struct(*(own.get(n, x[n]).alias(n) for n in names)))
+
+    document = F.struct(
+        F.lit(base_dir).alias("base_dir"), "chain", "dataset", "timestamp_col",
+        F.size("all").alias("n_files"), F.size(good).alias("n_indexed"), F.size(bad).alias("n_errors"),
+        listed(good, [part.split()[0] for part in _GOOD.split(", ")]).alias("files"),
+        listed(bad, [part.split()[0] for part in _BAD.split(", ")]).alias("errors"),
+    )
+    name = F.concat_ws("_", "chain", "dataset", F.lit("time_index"))
+    parts.select(name.alias("name"), F.to_json(document).alias("value")).write.mode("overwrite").partitionBy("name").text(path)
+    # Each name has one document, so one part file; give it the name that readers look for.
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in system.listStatus(top):
+        own = folder.getPath()
+        if folder.isDirectory() and own.getName().startswith("name="):
+            part = next(f.getPath() for f in system.listStatus(own) if f.getPath().getName().startswith("part-"))
+            named = own.getName().removeprefix("name=")
+            system.rename(part, spark._jvm.org.apache.hadoop.fs.Path(top, f"{named}.json"))
+            system.delete(own, True)
+
+
 _GOOD = (
     "file string, rel_file string, chain string, dataset string, timestamp_col string, "
     "min_ts string, max_ts string, method string"
@@ -208,51 +245,124 @@ def _fields(ddl: str) -> str:
     return ", ".join(":".join(part.split()) for part in ddl.split(","))
 
 
-def files_to_read(
-    spark: SparkSession, index: DataFrame | None, root: str, chain: str, target: str, days: DataFrame, strict: bool = False
-) -> list[str] | None:
-    """Files of one chain that can hold rows of the ``days`` (``lo``, ``hi``), None for all of them.
+def file_keys(spark: SparkSession, files: DataFrame, root: str) -> DataFrame:
+    """``files`` (``file`` and, where known, ``rel_file``) with ``key``, the one name of a file on this lake.
 
-    Chosen are the indexed files that overlap a day and the files the index has
-    as errors. Files of the folder that it does not list are indexed on the way;
-    one of them whose bytes are no parquet is left out with a warning, one that
-    could not be opened is chosen, since Spark may. Only file names reach the
-    driver.
+    The key is the path as the file system of ``root`` spells it, with scheme
+    and authority. An index may name its files by plain paths, by ``file:///``
+    addresses, relative to where it was built, or below another mount of the
+    same lake; those that aren't below ``root`` are known by ``rel_file``.
     """
-    folder = f"{root.rstrip('/')}/{chain}/{target}"
-    mine = None if index is None else index.filter((F.col("chain") == chain) & (F.col("dataset") == target))
-    if mine is None or mine.isEmpty():
-        if strict:
-            raise FileNotFoundError(f"no time index for {chain}/{target}")
-        return None
-    mine = mine.select("file", "min_ts", "max_ts", F.col("error") if "error" in mine.columns else F.lit(None).cast("string").alias("error"))
-    unlisted = list_parquet(spark, [folder]).select("path").join(mine.select(F.col("file").alias("path")), "path", "left_anti")
-    unlisted = stage(index_files(unlisted).select("file", "min_ts", "max_ts", "error"), "unlisted")
-    broken = [r.file for r in unlisted.filter(F.startswith("error", F.lit(UNREADABLE))).select("file").toLocalIterator()]
-    if broken:
-        warnings.warn(f"not parquet, left out: {', '.join(broken)}", stacklevel=2)
-    errors = mine.filter(F.col("error").isNotNull()).unionByName(
-        unlisted.filter(F.col("error").isNotNull() & ~F.startswith("error", F.lit(UNREADABLE)))
-    )
-    good = mine.unionByName(unlisted).filter(F.col("error").isNull())
+    base, prefix = _qualified(spark, root)
+    file = F.col("file")
+    spelt = F.when(
+        file.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.regexp_replace(file, "^([A-Za-z][A-Za-z0-9+.-]*):/{3,}", "$1:/")
+    ).when(F.startswith(file, F.lit("/")), F.concat(F.lit(prefix), file))
+    spelt = F.regexp_replace(spelt, r"(?<![:/])/(\./|/)+", "/")
+    key = F.when(F.startswith(spelt, F.lit(f"{base}/")), spelt)
+    if "rel_file" in files.columns:
+        relative = F.regexp_replace(F.regexp_replace("rel_file", r"/(\./|/)+", "/"), r"^(\./|/)+", "")
+        key = F.coalesce(key, F.concat(F.lit(f"{base}/"), relative))
+    return files.withColumn("key", F.coalesce(key, spelt, "file"))
+
+
+def _qualified(spark: SparkSession, root: str) -> tuple[str, str]:
+    """(the root as its file system spells it, what that puts before a plain path)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+    text = whole.toString().rstrip("/")
+    return text, text.removesuffix(whole.toUri().getPath().rstrip("/"))
+
+
+def choose_files(
+    spark: SparkSession,
+    index: DataFrame | None,
+    root: str,
+    target: str,
+    chains: Sequence[str],
+    days: DataFrame,
+    strict: bool = False,
+) -> tuple[DataFrame | None, list[str]]:
+    """Stored files that can hold rows of the ``days`` (``chain, lo, hi``), and the chains they are chosen for.
+
+    The files are ``(chain, key)``, in one plan over all chains. Listed is what
+    the lake holds now: a file is chosen if the index has it in a day's range
+    or as an error. A file the index does not have is indexed on the way; one
+    of them whose bytes are no parquet is left out with a warning, one that
+    could not be opened is chosen, since Spark may. Chains without any index
+    row are not chosen for; with ``strict`` they raise, as does a chain without
+    a file in the range.
+    """
+    base = root.rstrip("/")
+    if index is None:
+        known = []
+    else:
+        index = index.filter((F.col("dataset") == target) & F.col("chain").isin(list(chains)))
+        known = sorted(r.chain for r in index.select("chain").distinct().collect())
+    lost = sorted(set(chains) - set(known))
+    if strict and lost:
+        raise FileNotFoundError(f"no time index for {', '.join(f'{c}/{target}' for c in lost)}")
+    if not known:
+        return None, []
+    if "error" not in index.columns:
+        index = index.withColumn("error", F.lit(None).cast("string"))
     lo, hi = (to_utc_ts(F.col(c), T.StringType()) for c in ("min_ts", "max_ts"))
+
+    def spans(rows: DataFrame) -> DataFrame:
+        """One row for each file, however often an index lists it."""
+        return rows.groupBy("chain", "key").agg(
+            F.min(lo).alias("from"), F.max(hi).alias("to"), F.max(F.col("error").isNotNull() | lo.isNull() | hi.isNull()).alias("bad")
+        )
+
+    listed = listed_files(spark, f"{base}/{known[0]}/{target}", known[0], target)
+    for chain in known[1:]:
+        listed = listed.unionByName(listed_files(spark, f"{base}/{chain}/{target}", chain, target))
+    listed = file_keys(spark, listed.withColumnRenamed("path", "file"), root)
+    indexed = spans(file_keys(spark, index, root))
+    found = stage(listed.select("file", "chain", "key").join(indexed, ["chain", "key"], "left"), "listed")
+    fresh = index_files(found.filter("bad is null").select(F.col("file").alias("path"), "chain", "key"))
+    fresh = stage(fresh.select("chain", "key", "min_ts", "max_ts", "error"), "fresh")
+    foreign = fresh.filter(F.startswith("error", F.lit(UNREADABLE)))
+    names = [r.key for r in foreign.select("key").orderBy("key").take(_NAMED + 1)]
+    if names:
+        more = " and more" if len(names) > _NAMED else ""
+        warnings.warn(f"not parquet, left out: {', '.join(names[:_NAMED])}{more}", stacklevel=2)
+    usable = spans(fresh.join(foreign.select("chain", "key"), ["chain", "key"], "left_anti"))
+    files = found.filter("bad is not null").select("chain", "key", "from", "to", "bad").unionByName(usable)
     # A file is met by each day it touches: an equality join, whatever the number of days.
-    touched = good.select("file", F.explode(F.sequence(F.to_date(lo), F.to_date(hi))).alias("day"), lo.alias("lo"), hi.alias("hi"))
-    asked = days.select(
-        F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("day"), F.col("lo").alias("from"), F.col("hi").alias("to")
-    ).distinct()
-    hits = touched.join(asked, "day").filter((F.col("hi") >= F.col("from")) & (F.col("lo") < F.col("to")))
-    chosen = {r.file for r in hits.select("file").distinct().toLocalIterator()}
-    if strict and not chosen:
-        raise FileNotFoundError(f"time index of {chain}/{target} has no file in the range")
-    return sorted(chosen | {r.file for r in errors.select("file").toLocalIterator()})
-
-
-def read_files(spark: SparkSession, root: str, chain: str, target: str, files: list[str] | None) -> DataFrame:
-    """The chosen files of a chain's folder with all columns that any of them has; the whole folder for None."""
+    touched = files.filter(~F.col("bad")).select("chain", "key", "from", "to", F.explode(F.sequence(F.to_date("from"), F.to_date("to"))).alias("day"))
+    asked = days.select("chain", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("day"), "lo", "hi").distinct()
+    hits = touched.join(asked, ["chain", "day"]).filter((F.col("to") >= F.col("lo")) & (F.col("from") < F.col("hi")))
+    hits = hits.select("chain", "key", F.lit(True).alias("hit"))
+    either = stage(hits.unionByName(files.filter("bad").select("chain", "key", F.lit(False).alias("hit"))).distinct(), "chosen")
+    if strict:
+        met = {r.chain for r in either.filter("hit").select("chain").distinct().collect()}
+        if lost := [c for c in known if c not in met]:
+            raise FileNotFoundError(f"time index of {', '.join(f'{c}/{target}' for c in lost)} has no file in the range")
+    return either.select("chain", "key"), known
+
+
+def read_chosen(spark: SparkSession, root: str, chain: str, target: str, chosen: DataFrame | None) -> DataFrame:
+    """The chosen files of a chain's folder with all columns that any of them has; the whole folder for None.
+
+    In a folder of ``key=value`` folders the chosen files pick values, and the
+    scan skips all other folders at run time, so no file names pass through the
+    driver. Elsewhere the names of the chosen files are handed to the reader.
+    """
     folder = f"{root.rstrip('/')}/{chain}/{target}"
-    if files is None:
+    if chosen is None:
         return read_folder(spark, folder, merge_schema=True)
+    base = _qualified(spark, folder)[0]
+    mine = chosen.filter(F.col("chain") == chain)
+    inside = F.substr(F.col("key"), F.lit(len(base) + 2))
+    part = mine.select(F.regexp_extract(inside, "^([^/=]+)=([^/]*)/", 1).alias("name"), F.regexp_extract(inside, "^([^/=]+)=([^/]*)/", 2).alias("value"))
+    names = [r.name for r in part.select("name").distinct().take(2)]
+    if len(names) == 1 and names[0] and part.filter(F.col("value") == _NO_VALUE).isEmpty():
+        rows = read_folder(spark, folder, merge_schema=True)
+        by = rows.schema[names[0]]
+        values = part.select(F.url_decode(F.replace("value", F.lit("+"), F.lit("%2B"))).cast(by.dataType).alias(by.name)).distinct()
+        return rows.join(values, by.name, "left_semi").select(rows.columns)
+    files = sorted(r.key for r in mine.select("key").toLocalIterator())
     if not files:
         return read_folder(spark, folder, merge_schema=True).limit(0)
     return spark.read.option("mergeSchema", "true").option("basePath", folder).parquet(*files)
@@ -274,7 +384,7 @@ def read_for_range(
     is lost. Without an index the whole chain is read; with ``strict`` a miss
     raises instead.
     """
-    days = spark.range(1).select(start.alias("lo"), end.alias("hi"))
-    files = files_to_read(spark, index, root, chain, target, days, strict)
-    rows = read_files(spark, root, chain, target, files)
+    days = spark.range(1).select(F.lit(chain).alias("chain"), start.alias("lo"), end.alias("hi"))
+    chosen, _ = choose_files(spark, index, root, target, [chain], days, strict)
+    rows = read_chosen(spark, root, chain, target, chosen)
     return rows.withColumn("chain", F.lit(chain))
