@@ -23,6 +23,11 @@ A hot address spreads over its time slots. If one slot of one address is hot as
 well, the semi join that thins the transactions is a left-semi join AQE may
 split, identical timestamps are cut to N before they are shuffled, and copies
 of one transaction collapse to one.
+
+A slot is as long as the longest window. Slots over an hour are ordered in parts
+of at most an hour (or a 256th): each part is ranked by itself, and a small table
+carries the last N times before a part to the transactions at its beginning. So
+the rows ordered together don't grow with the window.
 """
 
 from __future__ import annotations
@@ -34,8 +39,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.scalars import integer_div
 from .transactions import tx_order
 
+SLOT_PART_MINUTES = 60
+MOST_PARTS = 256
 LEVELS = 5
 FANOUT = 16
+_SLOT = ("chain", "actor", "_slot")
 PROBE_COLUMNS = ("phase", "chain", "actor", "w0", "w1")
 
 
@@ -52,10 +60,21 @@ def first_n_join(probes: DataFrame, by_actor: DataFrame, n: int, slot_minutes: i
     """
     probes = probes.filter((F.col("w0") < F.col("w1")) & F.col("chain").isNotNull() & F.col("actor").isNotNull())
     width = slot_minutes * 60_000_000
-    near = _without_copies(_touched_slots(by_actor, probes, width))
+    parts = slot_parts(slot_minutes)
+    near = _touched_slots(by_actor, probes, width)
+    if parts > 1:
+        part = integer_div(F.col("_us") - F.col("_slot") * width, -(-width // parts)).cast("int")
+        near = near.withColumn("_part", part).repartition(*_SLOT, "_part")
+    near = _without_copies(near, parts)
     if n <= 0:
-        return _all_pairs(probes, near, width)
-    return _meet(probes, _reach(near, n, width), width)
+        return _all_pairs(probes, near.drop("_part"), width)
+    reached = _reach(near, n, width) if parts == 1 else _reach_by_parts(near, n, width)
+    return _meet(probes, reached, width)
+
+
+def slot_parts(slot_minutes: int) -> int:
+    """In how many parts a slot is ordered."""
+    return min(MOST_PARTS, max(1, -(-slot_minutes // SLOT_PART_MINUTES)))
 
 
 def _slots(start: str, end: str, width: int) -> Column:
@@ -72,8 +91,9 @@ def _touched_slots(by_actor: DataFrame, probes: DataFrame, width: int) -> DataFr
     return timed.join(slots, ["chain", "actor", "_slot"], "left_semi")
 
 
-def _without_copies(tx: DataFrame) -> DataFrame:
-    copies = Window.partitionBy("chain", "actor", "_slot", "_us", "transaction_hash").orderBy("side", *tx_order())
+def _without_copies(tx: DataFrame, parts: int) -> DataFrame:
+    own = _SLOT if parts == 1 else (*_SLOT, "_part")
+    copies = Window.partitionBy(*own, "_us", "transaction_hash").orderBy("side", *tx_order())
     return tx.withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1").drop("_copy")
 
 
@@ -102,6 +122,31 @@ def _reach(tx: DataFrame, n: int, width: int) -> DataFrame:
     )
 
 
+def _reach_by_parts(tx: DataFrame, n: int, width: int) -> DataFrame:
+    """``_reach`` with no more than a part of a slot ordered together."""
+    key = [*_SLOT, "_part"]
+    in_part = Window.partitionBy(*key)
+    ordered = in_part.orderBy("_us", *tx_order())
+    same_time = Window.partitionBy(*key, "_us").orderBy(*tx_order())
+    ranked = (
+        tx.withColumn("_tick", F.row_number().over(same_time))
+        .filter(F.col("_tick") <= n)
+        .withColumns({"_rank": F.row_number().over(ordered), "_near": F.lag("_us", n).over(ordered), "_size": F.count("*").over(in_part)})
+    )
+    # The last n times of each part, at most n of all parts before it.
+    last = ranked.filter(F.col("_size") - F.col("_rank") < n).groupBy(*key).agg(F.array_sort(F.collect_list("_us")).alias("_last"))
+    before = Window.partitionBy(*_SLOT).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    gathered = last.select(*key, F.flatten(F.collect_list("_last").over(before)).alias("_before"))
+    carried = gathered.select(*key, F.slice("_before", F.greatest(F.lit(1), F.size("_before") - n + 1), n).alias("_before"))
+    earlier = F.get(F.col("_before"), F.size("_before") - (n + 1 - F.col("_rank")))
+    return (
+        ranked.join(carried, key, "left")
+        .withColumn("_reach", F.greatest(F.when(F.col("_rank") > n, F.col("_near")).otherwise(earlier), F.col("_us") - width))
+        .filter("_reach < _us")
+        .drop("_tick", "_slot", "_part", "_rank", "_near", "_size", "_before")
+    )
+
+
 def _level_widths(width: int) -> list[int]:
     return [max(1, -(-width // FANOUT**i)) for i in range(LEVELS)]
 
