@@ -12,11 +12,12 @@ from .scalars import (
     topic_addr_padded,
     ts_iso,
 )
-from .u256 import int_text, limbs_of, limbs_text, tx_value_text, u256_from_hex, u256_parse
+from .u256 import double_text, int_text, limbs_of, limbs_text, tx_value_text, u256_from_hex, u256_parse
 
 __all__ = [
     "as_list",
     "canonical_chain",
+    "double_text",
     "event_name",
     "int_text",
     "limbs_of",

@@ -188,36 +188,43 @@ def _hex_word_sum(digits: Column) -> Column:
 
 
 def _hex_any_length(digits: Column) -> Column:
-    """Hex text of any length, folded six digits at a time into 10^9 limbs."""
-    billion = F.lit(10**9).cast("long")
-    size = F.ceil(F.length(digits) / 6).cast("int")
-    padded = F.lpad(digits, size * 6, F.lit("0"))
+    """Hex text of any length: seven digits at a time enter limbs of ten decimal digits.
+
+    The carries of a step are passed on together in the next one, so a step
+    copies the limbs twice and no more; one last pass settles them.
+    """
+    base, factor = F.lit(10**10).cast("long"), F.lit(16**7).cast("long")
+    zero = F.array(F.lit(0).cast("long"))
+    size = F.ceil(F.length(digits) / 7).cast("int")
+    padded = F.lpad(digits, size * 7, F.lit("0"))
     chunks = F.transform(
         F.sequence(F.lit(0), size - 1),
-        lambda i: F.conv(F.substr(padded, i * 6 + 1, F.lit(6)), 16, 10).cast("long"),
+        lambda i: F.conv(F.substr(padded, i * 7 + 1, F.lit(7)), 16, 10).cast("long"),
     )
-    empty = F.array().cast("array<bigint>")
-
-    def times_16_6(limbs: Column, chunk: Column) -> Column:
-        folded = F.aggregate(
-            limbs,
-            F.struct(empty.alias("out"), chunk.alias("carry")),
-            lambda acc, limb: let(
-                limb * F.lit(16**6).cast("long") + acc["carry"],
-                lambda v: F.struct(
-                    F.concat(acc["out"], F.array(F.pmod(v, billion))).alias("out"),
-                    F.call_function("div", v, billion).alias("carry"),
-                ),
-            ),
-        )
+
+    def step(limbs: Column, chunk: Column) -> Column:
+        # A limb is below 10^10 + 16^7, so its product stays below 2^63.
+        products = F.transform(limbs, lambda x: x * factor)
+        carries = F.concat(F.array(chunk), F.transform(products, lambda x: F.call_function("div", x, base)))
         return let(
-            folded,
-            lambda f: F.when(f["carry"] > 0, F.concat(f["out"], F.array(f["carry"]))).otherwise(f["out"]),
+            F.zip_with(F.concat(F.transform(products, lambda x: F.pmod(x, base)), zero), carries, lambda x, y: x + y),
+            lambda out: F.when(F.element_at(out, -1) == 0, F.slice(out, 1, F.size(out) - 1)).otherwise(out),
         )
 
-    limbs = F.aggregate(chunks, empty, times_16_6)
-    text = F.array_join(F.transform(F.reverse(limbs), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
-    return F.regexp_replace(F.concat(F.lit("0"), text), "^0+(?=[0-9])", "")
+    limbs = F.aggregate(chunks, F.array().cast("array<bigint>"), step)
+    settled = F.aggregate(
+        limbs,
+        F.struct(F.lit(0).cast("long").alias("carry"), F.lit("").alias("text")),
+        lambda acc, x: let(
+            x + acc["carry"],
+            lambda v: F.struct(
+                F.call_function("div", v, base).alias("carry"),
+                F.concat(F.lpad(F.pmod(v, base).cast("string"), 10, "0"), acc["text"]).alias("text"),
+            ),
+        ),
+        lambda acc: F.concat(acc["carry"].cast("string"), acc["text"]),
+    )
+    return F.regexp_replace(settled, "^0+(?=[0-9])", "")
 
 
 def hex_digits(col: Column) -> Column:
@@ -243,23 +250,80 @@ def u256_from_hex(col: Column) -> Column:
     return let(hex_digits(col), hex_value)
 
 
-def _fraction_text(text: Column) -> Column:
-    """Whole part of a JSON fraction; these are the only texts with a point."""
-    number = F.coalesce(
-        F.regexp_replace(text.try_cast("decimal(38,10)").cast("string"), r"\..*$", ""),
-        text.try_cast("decimal(38,0)").cast("string"),
+_POINT = r"^-?[0-9]+\.[0-9]+([eE][+-]?[0-9]+)?$"
+# A number without a point is hex text as well, unless its exponent has a sign.
+_SIGNED_EXPONENT = r"^-?[0-9]+[eE][+-][0-9]+$"
+_EXPONENT = r"^-?[0-9]+[eE][0-9]+$"
+
+
+def _shifted(text: Column) -> Column:
+    """Whole part of a decimal number with a point or an exponent, by moving its digits.
+
+    NULL where the number exceeds every double, which is no number in JSON readers.
+    """
+    parts = F.struct(
+        F.regexp_extract(text, "^-?([0-9]+)", 1).alias("whole"),
+        F.regexp_extract(text, r"\.([0-9]+)", 1).alias("rest"),
+        F.regexp_extract(text, "[eE]([+-]?[0-9]+)$", 1).alias("exponent"),
+        text.try_cast("double").alias("value"),
     )
-    return F.when(text.rlike(r"^-?[0-9]+\.[0-9]+(E[+-]?[0-9]+)?$"), int_text(number))
 
+    def body(p: Column) -> Column:
+        digits = F.concat(p["whole"], p["rest"])
+        point = F.length(p["whole"]) + F.when(p["exponent"] == "", F.lit(0)).otherwise(p["exponent"].try_cast("int"))
+        moved = F.when(point <= 0, F.lit("0")).otherwise(F.rpad(F.substring(digits, F.lit(1), point), point, F.lit("0")))
+        # Beyond these the exponent is out of range of any number but zero.
+        settled = F.when(p["value"] == 0, F.lit("0")).when(F.abs(p["value"]) < float("inf"), moved)
+        bare = F.regexp_replace(settled, "^0+(?=[0-9])", "")
+        return F.when(F.startswith(text, F.lit("-")) & (bare != "0"), F.concat(F.lit("-"), bare)).otherwise(bare)
+
+    return let(parts, body)
+
+
+def _fraction_text(text: Column, quoted: Column | None) -> Column:
+    """Whole part of a JSON number with a fraction or an exponent."""
+    number = text.rlike(_POINT) | text.rlike(_SIGNED_EXPONENT)
+    if quoted is not None:
+        number = (number | text.rlike(_EXPONENT)) & ~F.coalesce(quoted, F.lit(False))
+    return F.when(number, _shifted(text))
 
-def whole_number(col: Column) -> Column:
-    """Decimal text, or a JSON fraction cut off; NULL for anything else."""
-    return F.coalesce(int_text(col), _fraction_text(strip(col)))
 
+def whole_number(col: Column, quoted: Column | None = None) -> Column:
+    """Decimal text, or a JSON fraction cut off; NULL for anything else.
+
+    ``quoted`` tells text in quotes, which is no number where it has a fraction
+    or an exponent. Where that isn't known, a fraction is taken for a number
+    and ``1e5`` for hex text.
+    """
+    return F.coalesce(int_text(col), _fraction_text(strip(col), quoted))
+
+
+def u256_parse(col: Column, quoted: Column | None = None) -> Column:
+    """Amount given as decimal text, a JSON number (fraction cut off) or hex text."""
+    return F.coalesce(whole_number(col, quoted), u256_from_hex(col))
+
+
+def double_text(col: Column) -> Column:
+    """Whole part of a double, all digits exact; NULL for NaN and the infinities.
+
+    From 2^53 on a double is a whole number of at most 53 bits times a power of
+    two: the bits become hex digits and the power zeros behind them.
+    """
+    value = col.cast("double")
+    size = F.abs(value)
+    small = F.when(value >= 0, F.floor(value)).otherwise(F.ceil(value)).cast("string")
+
+    def large(shift: Column) -> Column:
+        # Powers of two scale exactly, and the result is below 2^57.
+        bits = (size * F.pow(F.lit(2.0), -shift)).cast("long")
+        odd = F.pmod(shift, F.lit(4)).cast("int")
+        digits = F.concat(F.lower(F.hex(F.call_function("shiftleft", bits, odd))), F.repeat(F.lit("0"), ((shift - odd) / 4).cast("int")))
+        text = hex_value(digits)
+        return F.when(value < 0, F.concat(F.lit("-"), text)).otherwise(text)
 
-def u256_parse(col: Column) -> Column:
-    """Amount given as decimal text, a JSON fraction (cut off) or hex text."""
-    return F.coalesce(whole_number(col), u256_from_hex(col))
+    shift = (F.floor(F.log2(size)) - 55).cast("int")
+    exact = F.when(size < 2.0**53, small).when(size < 2.0**63, value.cast("long").cast("string")).otherwise(let(shift, large))
+    return F.when(size < float("inf"), exact)
 
 
 def tx_value_text(col: Column, data_type: T.DataType, keep_text: bool = True) -> Column:
@@ -273,9 +337,7 @@ def tx_value_text(col: Column, data_type: T.DataType, keep_text: bool = True) ->
     if isinstance(data_type, T.DecimalType):
         return int_text(F.regexp_replace(col.cast("string"), r"\..*$", ""))
     if isinstance(data_type, T.NumericType):
-        # Doubles from 2^53 on are whole, so only smaller ones need cutting off.
-        small = F.when(col >= 0, F.floor(col)).otherwise(F.ceil(col)).cast("string")
-        whole = F.when(F.abs(col) < 2.0**53, small).otherwise(col.try_cast("decimal(38,0)").cast("string"))
+        whole = double_text(col)
         text = F.coalesce(whole, col.cast("string")) if keep_text else whole
         return F.when(~F.isnan(col), text)
     text = col.cast("string")

@@ -15,10 +15,11 @@ from ..functions import (
     topic_addr,
     ts_iso,
 )
-from ..functions.json_args import EVENT_FIELDS
+from ..functions.json_args import EVENT_FIELDS, clean_json
 from ..functions.scalars import null_if_blank
 from ..functions.u256 import hex_digits, hex_value, whole_number
 from ..sources.columns import match_column
+from .key_filter import EXPECTED_KEYS, keep_possible
 from .transactions import require
 
 # Argument names of the decoded events, best first.
@@ -28,6 +29,7 @@ OWNER_KEYS = ("owner",)
 SPENDER_KEYS = ("spender",)
 
 EVENT_KEY = ["chain", "tx_hash"]
+_FRACTION = r"^\s*-?[0-9]+([.][0-9]+)?([eE][+-]?[0-9]+)?\s*$"
 
 
 def normalize_events(df: DataFrame) -> DataFrame:
@@ -65,9 +67,15 @@ def normalize_events(df: DataFrame) -> DataFrame:
     ).filter(F.length("tx_hash") > 0)
 
 
-def scan_events(events: DataFrame, hashes: DataFrame, lo: Column | None = None, hi: Column | None = None) -> DataFrame:
-    """Normalised events of the given ``(chain, tx_hash)`` keys, in a time range."""
-    kept = events.join(hashes.select(*EVENT_KEY).distinct(), EVENT_KEY, "left_semi")
+def scan_events(
+    events: DataFrame, hashes: DataFrame, lo: Column | None = None, hi: Column | None = None, expected: int = EXPECTED_KEYS
+) -> DataFrame:
+    """Normalised events of the given ``(chain, tx_hash)`` keys, in a time range.
+
+    ``expected`` keys size the filter that drops other events at the scan.
+    """
+    asked = hashes.select(*EVENT_KEY).distinct()
+    kept = keep_possible(events, asked, EVENT_KEY, expected).join(asked, EVENT_KEY, "left_semi")
     if lo is None or hi is None:
         return kept
     return kept.filter((F.col("block_timestamp") >= lo) & (F.col("block_timestamp") < hi))
@@ -97,6 +105,19 @@ def cap_events(events: DataFrame, max_events: int) -> DataFrame:
     return numbered.filter(F.col("event_pos") <= max_events) if max_events > 0 else numbered
 
 
+def capped_events_of(events: DataFrame, hashes: DataFrame, max_events: int, expected: int = EXPECTED_KEYS) -> DataFrame:
+    """The first ``max_events`` events, numbered, of each ``(chain, tx_hash)`` asked for.
+
+    ``cap_events`` after ``scan_events``, in the order that moves least: the key
+    filter at the scan, the cap on either side of the one shuffle by hash, and
+    there the exact join. Arguments, topics and data of events that are not
+    kept stay behind that shuffle, but for the few that the filter lets through.
+    """
+    asked = hashes.select(*EVENT_KEY).distinct()
+    possible = keep_possible(events, asked, EVENT_KEY, expected)
+    return cap_events(possible, max_events).join(asked, EVENT_KEY, "left_semi")
+
+
 def _parsed(events: DataFrame) -> DataFrame:
     """Replace the raw arguments and topics by parsed ones, parsed only once."""
 
@@ -113,7 +134,8 @@ def _parsed(events: DataFrame) -> DataFrame:
             }
         )
         .withColumn("_list", as_list(F.col("_args")))
-        .drop("topics", "args_json", "args", "_first", "_second")
+        .withColumn("_from_first", readable)
+        .drop("topics", "_first", "_second")
     )
 
 
@@ -127,6 +149,26 @@ def _listed(args: Column, pos: int) -> Column:
     return F.when(F.size(args["items"]) >= 3, F.get(args["items"], F.lit(pos)))
 
 
+def _in_json(events: DataFrame, by_list: Column, key: Column) -> Column:
+    """How the amount stands in its JSON: ``quoted`` (text, no number) and ``exact``, its digits.
+
+    Asked only for texts with a fraction or an exponent, which are rare: the
+    parsed arguments hold all values as text, and numbers with a fraction as
+    doubles. ``exact`` has up to 38 digits.
+    """
+
+    def json(name: str) -> Column:
+        return clean_json(F.col(name)) if isinstance(events.schema[name].dataType, T.StringType) else F.to_json(name)
+
+    parsed = F.try_parse_json(F.when(F.col("_from_first"), json("args_json")).otherwise(json("args")))
+
+    def at(path: str) -> Column:
+        kind = F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
+        return F.struct((kind == "STRING").alias("quoted"), F.try_variant_get(parsed, path, "string").alias("exact"))
+
+    return F.when(by_list, at("$[2]")).when(key == "value", at("$.value")).otherwise(at("$.amount"))
+
+
 def _with_parties_and_amount(named: DataFrame) -> DataFrame:
     """Decode what Transfer and Approval share: two addresses and an amount.
 
@@ -147,6 +189,7 @@ def _with_parties_and_amount(named: DataFrame) -> DataFrame:
     fields = args["fields"]
     has_value = F.array_contains(F.map_keys(fields), "value")
     amount_key = F.when(has_value, F.lit("value")).otherwise(F.lit("amount"))
+    stands = _in_json(named, _listed(args, 2).isNotNull(), amount_key)
     return (
         named.withColumns(
             {
@@ -155,7 +198,8 @@ def _with_parties_and_amount(named: DataFrame) -> DataFrame:
                 "_given": F.when(known, F.coalesce(_listed(args, 2), F.try_element_at(fields, amount_key))),
             }
         )
-        .withColumn("_whole", whole_number(F.col("_given")))
+        .withColumn("_stands", F.when(F.col("_given").rlike(_FRACTION) & F.col("_given").rlike("[.eE]"), stands))
+        .withColumn("_whole", whole_number(F.coalesce("_stands.exact", "_given"), F.col("_stands.quoted")))
         .withColumn(
             "_hex",
             F.when(known & F.col("_whole").isNull(), F.coalesce(hex_digits(F.col("_given")), hex_digits(F.col("data")))),

@@ -141,8 +141,9 @@ def native_legs(value: Column, from_address: Column, to_address: Column) -> Colu
 def net_delta(legs: Column, focus: Column) -> Column:
     """``map<address, map<token, delta>>`` with a key for every focus address.
 
-    A column expression over one row: legs are first cut to the focus address,
-    so the work is linear in the events and nothing is shuffled.
+    A column expression over one row: legs are first cut to the focus address
+    and sorted by token, so that each token sums one slice of them and nothing
+    is shuffled. Tokens come in the order of their first leg.
     """
     names = LIMBS.fieldNames()
     zero = F.struct(*[F.lit(0).cast("decimal(38,0)").alias(n) for n in names])
@@ -153,23 +154,39 @@ def net_delta(legs: Column, focus: Column) -> Column:
             lambda x: F.struct(*[(acc[n] + x[n]).cast("decimal(38,0)").alias(n) for n in names]),
         )
 
-    def total(own: Column, token: Column) -> Column:
-        same = F.filter(own, lambda leg: leg["token"] == token)
+    def total(same: Column) -> Column:
         # Amounts beyond 86 digits, no uint256 but possible in event data, take a slower way.
         texts = F.transform(same, lambda leg: signed_text(leg["amount"], leg["sign"]))
         short = F.aggregate(same, zero, add, lambda s: limbs_text(s["low"], s["mid"], s["top"]))
         return F.when(F.exists(same, lambda leg: _is_long(leg["amount"])), long_sum_text(texts)).otherwise(short)
 
-    def per_token(own: Column) -> Column:
-        tokens = F.array_distinct(F.transform(own, lambda leg: leg["token"]))
-        return F.map_from_entries(F.transform(tokens, lambda t: F.struct(t, total(own, t))))
+    def placed(leg: Column, pos: Column) -> Column:
+        return F.struct(leg["token"].alias("token"), pos.alias("pos"), leg["amount"].alias("amount"), leg["sign"].alias("sign"))
+
+    def per_token(ordered: Column) -> Column:
+        size = F.size(ordered)
+        token = lambda i: F.get(ordered, i)["token"]
+        starts = F.filter(F.sequence(F.lit(1), size), lambda i: (i == 1) | (token(i - 1) != token(i - 2)))
+
+        def sums(first: Column) -> Column:
+            def one(i: Column, k: Column) -> Column:
+                end = F.coalesce(F.get(first, k + 1), size + 1)
+                return let(
+                    F.slice(ordered, i, end - i),
+                    lambda same: F.struct(F.get(same, F.lit(0))["pos"].alias("pos"), F.get(same, F.lit(0))["token"].alias("token"), total(same).alias("delta")),
+                )
+
+            entries = F.array_sort(F.transform(first, one))
+            return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["token"], e["delta"])))
+
+        return F.when(size > 0, let(starts, sums)).otherwise(F.create_map().cast("map<string,string>"))
 
     return let(
         legs,
         lambda all_legs: F.map_from_entries(
             F.transform(
                 focus,
-                lambda a: F.struct(a, let(F.filter(all_legs, lambda leg: leg["addr"] == a), per_token)),
+                lambda a: F.struct(a, let(F.array_sort(F.transform(F.filter(all_legs, lambda leg: leg["addr"] == a), placed)), per_token)),
             )
         ),
     )

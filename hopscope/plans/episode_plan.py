@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import EpisodeConfig
 from ..operators.episodes import align_back, assemble_episodes, collect_phase, dst_probes, src_probes
-from ..operators.events import attach_events, cap_events, decode_events, events_per_tx, normalize_events, scan_events
+from ..operators.events import attach_events, capped_events_of, decode_events, events_per_tx, normalize_events
 from ..operators.receipts import valid_receipts, with_windows
 from ..operators.source_actor import resolve_source_actor
 from ..operators.transactions import normalize_transactions, prune_to_span, tx_by_actor
@@ -51,7 +51,8 @@ def enrich(actions: DataFrame, events: DataFrame, max_events: int, span: DataFra
     if span is not None and ts_col is not None:
         events = prune_to_span(events, ts_col, span)
     hashes = actions.select("chain", F.col("transaction_hash").alias("tx_hash"))
-    kept = cap_events(scan_events(normalize_events(events), hashes), max_events)
+    # The actions are staged, so counting them opens footers only.
+    kept = capped_events_of(normalize_events(events), hashes, max_events, actions.count())
     return attach_events(actions, events_per_tx(decode_events(kept)))
 
 

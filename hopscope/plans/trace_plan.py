@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..config import TraceConfig
-from ..operators.events import cap_events, decode_events, events_per_tx, normalize_events, scan_events
+from ..operators.events import capped_events_of, decode_events, events_per_tx, normalize_events
 from ..operators.trace import TX_KEY, explode_actions, trace_rows, trace_span, trace_with_events, trace_with_meta
 from ..operators.transactions import normalize_transactions, prune_to_span
 from ..sources.columns import match_column
@@ -28,7 +28,8 @@ def joined_trace(
     ts_col = match_column(events.columns, ["block_timestamp"])
     if ts_col is not None:
         events = prune_to_span(events, ts_col, span)
-    kept = cap_events(scan_events(normalize_events(events), actions.select(*TX_KEY)), config.max_events_per_tx)
+    # The actions are staged, so counting them opens footers only.
+    kept = capped_events_of(normalize_events(events), actions.select(*TX_KEY), config.max_events_per_tx, actions.count())
     return trace_with_events(trace, events_per_tx(decode_events(kept)))
 
 
