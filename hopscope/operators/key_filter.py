@@ -36,8 +36,8 @@ def _place(keys: list[Column], words: int) -> tuple[Column, Column]:
     return F.pmod(h, F.lit(words).cast("long")).cast("int"), mask
 
 
-def keep_possible(rows: DataFrame, keys: DataFrame, columns: list[str], expected: int = EXPECTED_KEYS) -> DataFrame:
-    """Rows whose ``columns`` may be among those of ``keys``; no row that is among them is lost.
+def possible(keys: DataFrame, columns: list[str], expected: int = EXPECTED_KEYS) -> Column:
+    """Whether a row's ``columns`` may be among those of ``keys``: true for all that are, and for few others.
 
     The columns have the same types on both sides. ``expected`` keys set the
     size of the filter, up to a fixed bound.
@@ -49,5 +49,9 @@ def keep_possible(rows: DataFrame, keys: DataFrame, columns: list[str], expected
     filled = every.join(set_words, "_word", "left").select("_word", F.coalesce("_mask", F.lit(0).cast("long")).alias("_mask"))
     gathered = filled.agg(F.array_sort(F.collect_list(F.struct("_word", "_mask"))).alias("all"))
     array = gathered.select(F.transform("all", lambda x: x["_mask"]).alias("words")).scalar()
-    slot, mask = _place([F.col(c) for c in columns], words)
-    return rows.filter(F.get(array, slot).bitwiseAND(mask) == mask)
+    return F.get(array, slot).bitwiseAND(mask) == mask
+
+
+def keep_possible(rows: DataFrame, keys: DataFrame, columns: list[str], expected: int = EXPECTED_KEYS) -> DataFrame:
+    """Rows that are ``possible``; no row whose ``columns`` are among those of ``keys`` is lost."""
+    return rows.filter(possible(keys, columns, expected))
