@@ -5,10 +5,16 @@ shingle). Texts with equal sets are one vertex. Each vertex has ``bands`` hashes
 of ``rows`` minima, chosen for the target recall at the threshold. Vertices that
 share a band hash are gathered into families (components over one star per
 band bucket, so a hot bucket gives as many rows as it has members). The members
-of a family are dealt to blocks of bounded size, and each pair of blocks verifies
-its members on the full shingle sets, by a product of matrices. What leaves a
-pair of blocks are sums of links per vertex and a spanning forest, never the
-pairs. So a link is lost only if the bands miss it and every path around it.
+of a family are dealt to blocks of bounded size, and verified on the full shingle
+sets, by a product of matrices: first each block in itself, then, in families of
+several blocks, each pair of blocks. What leaves a block is one row for each
+member, with its links and the root of the members it is connected to; what leaves a pair of
+blocks are link counts and one edge for each two roots that it connects first. No pairs leave
+either, and no link is lost unless the bands miss it and every path around it.
+
+Moved are one shingle set for each member of a family, and in families of B blocks
+each set B - 1 times more. The comparing itself takes quadratic time in the
+distinct sets of a family, since the links of every one of them are counted.
 
 Defined cases: a null text is alone in its class; a class in which no row has a key has a null id, and its
 distinct texts all stay in ``keep_one``; blank texts have the empty
@@ -28,14 +34,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hopscope.llm import words
-from hopscope.llm.components import components
+from hopscope.llm.components import components, free
 from hopscope.llm.rows import keyed
+from hopscope.operators.key_filter import keep_possible, possible
 from hopscope.sources.staging import stage
 
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
-BLOCK = 256
+BLOCK = 1024
+BLOCK_BYTES = 8 << 20  # of shingles
+BIN_BYTES = 16 << 20  # of small families verified together
 _FEW_PAIRS = 32  # compared one by one, more as matrices
 _SEED = 20240229
 
@@ -134,65 +143,102 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def links_of_blocks(ids, weights, sets, side, inner, threshold):
-    """Links among one family's rows: within one block (``inner``), or of those on side 0 with those on side 1.
-
-    Yields (vertex, other or None, linked rows, linked sets): sums for each vertex, and the edges of a spanning forest.
-    """
-    one = np.flatnonzero(side == 0)
-    if inner:
-        two = one
-        a, b = np.triu_indices(len(one), 1)
-    else:
-        two = np.flatnonzero(side == 1)
-        a, b = (x.ravel() for x in np.indices((len(one), len(two))))
-    if not len(a):
-        return
-    size = np.array([len(x) for x in sets], np.float64)
-    if len(a) <= _FEW_PAIRS:
-        common = np.array([len(np.intersect1d(sets[one[i]], sets[two[j]], assume_unique=True)) for i, j in zip(a, b, strict=True)])
+def _good(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which pairs reach the threshold."""
+    if len(left) * len(right) <= _FEW_PAIRS:
+        common = np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in right] for x in left], np.float64)
     else:
-        common = overlaps([sets[i] for i in one], [sets[i] for i in two])[a, b]
-    a, b = one[a], two[b]
-    good = common >= threshold * (size[a] + size[b] - common) - 1e-9
-    a, b = a[good], b[good]
-    if not len(a):
-        return
-    rows, texts = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-    np.add.at(rows, a, weights[b])
-    np.add.at(rows, b, weights[a])
-    np.add.at(texts, a, 1)
-    np.add.at(texts, b, 1)
-    for i in np.flatnonzero(texts):
-        yield ids[i], None, int(rows[i]), int(texts[i])
-    root = list(range(len(ids)))
-
-    def top(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
+        common = overlaps(left, right)
+    sizes = np.add.outer([float(len(x)) for x in left], [float(len(x)) for x in right])
+    return common >= threshold * (sizes - common) - 1e-9
+
+
+def roots(linked: np.ndarray) -> np.ndarray:
+    """For each member of a symmetric matrix of links the first member it is connected to."""
+    root = np.full(len(linked), -1)
+    for first in range(len(linked)):
+        if root[first] >= 0:
+            continue
+        there = np.zeros(len(linked), bool)
+        there[first] = True
+        edge = there
+        while edge.any():
+            edge = linked[edge].any(axis=0) & ~there
+            there |= edge
+        root[there] = first
+    return root
+
+
+def _families(table: pa.Table) -> Iterator[np.ndarray]:
+    """Rows of each family of a group."""
+    family = np.array(table.column("family").to_pylist(), object)
+    order = np.array(sorted(range(len(family)), key=family.__getitem__), np.int64)
+    cuts = np.flatnonzero(np.concatenate([[True], family[order][1:] != family[order][:-1], [True]]))
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        yield order[lo:hi]
+
+
+def _set_columns(table: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles").combine_chunks()]
+
+
+def _verify_blocks(threshold: float):
+    """(vertex, root, rows, texts) of each member: links within its block."""
+
+    def run(group: pa.Table) -> pa.Table:
+        sets, ids = _set_columns(group), group.column("vertex").to_pylist()
+        weights = np.asarray(group.column("copies"))
+        root = np.arange(len(ids))
+        rows, texts = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        for at in _families(group):
+            own = [sets[i] for i in at]
+            good = _good(own, own, threshold)
+            np.fill_diagonal(good, False)
+            rows[at], texts[at] = good @ weights[at], good.sum(axis=1)
+            root[at] = at[roots(good)]
+        columns = [pa.array(ids, pa.binary()), pa.array([ids[i] for i in root], pa.binary()), pa.array(rows), pa.array(texts)]
+        return pa.Table.from_arrays(columns, names=["vertex", "root", "rows", "texts"])
+
+    return run
+
+
+def cross_links(root: list, left: np.ndarray, right: np.ndarray, good: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Edges between roots of two blocks, one for each two sets of connected roots that a link joins first."""
+    names = sorted({root[i] for i in [*left, *right]})
+    place = {name: k for k, name in enumerate(names)}
+    a, b = np.nonzero(good)
+    of = np.array([place[r] for r in root])
+    pairs = np.unique(np.stack([of[left[a]], of[right[b]]], axis=1), axis=0)
+    top = list(range(len(names)))
+
+    def find(i):
+        while top[i] != i:
+            top[i] = top[top[i]]
+            i = top[i]
         return i
 
-    for i, j in zip(a.tolist(), b.tolist(), strict=True):
-        x, y = top(i), top(j)
+    for i, j in pairs.tolist():
+        x, y = find(i), find(j)
         if x != y:
-            root[y] = x
-            yield ids[i], ids[j], 0, 0
+            top[y] = x
+            yield names[i], names[j]
 
 
-def _verify(threshold: float):
+def _verify_pairs(threshold: float):
+    """Of two blocks of one family: (vertex, null, rows, texts) sums, and (root, other root, 0, 0) edges."""
+
     def run(group: pa.Table) -> pa.Table:
-        out, inner = [], group.column("i")[0] == group.column("j")[0]
-        family = np.array(group.column("family").to_pylist(), object)
-        order = np.array(sorted(range(len(family)), key=family.__getitem__), np.int64)
-        ids = group.column("vertex").to_pylist()
-        weights = np.asarray(group.column("copies"))
-        side = np.asarray(group.column("side"))
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles").combine_chunks()] if group.num_rows else []
-        cuts = np.flatnonzero(np.concatenate([[True], family[order][1:] != family[order][:-1], [True]]))
-        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-            at = order[lo:hi]
-            out += links_of_blocks([ids[i] for i in at], weights[at], [sets[i] for i in at], side[at], inner, threshold)
+        sets, ids, root = _set_columns(group), group.column("vertex").to_pylist(), group.column("root").to_pylist()
+        weights, side = np.asarray(group.column("copies")), np.asarray(group.column("side"))
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        out = []
+        if len(left) and len(right):
+            good = _good([sets[i] for i in left], [sets[i] for i in right], threshold)
+            rows, texts = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+            rows[left], rows[right] = good @ weights[right], good.T @ weights[left]
+            texts[left], texts[right] = good.sum(axis=1), good.sum(axis=0)
+            out = [(ids[i], None, int(rows[i]), int(texts[i])) for i in np.flatnonzero(texts)]
+            out += [(a, b, 0, 0) for a, b in cross_links(root, left, right, good)]
         columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
         kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
         return pa.Table.from_arrays(
@@ -211,25 +257,34 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **options
     """One document of each class, the one of the least key, with its own columns only."""
     found = stage(_classed(docs, text, key, **options).select("key", "id", "h", "class", "class_id"), "classes")
     # A class is known by its vertex: keys may repeat, so its least key can be that of another class, too.
-    one = found.filter("class_id is not null and class is not null").groupBy("class")
-    one = one.agg(F.min(F.struct(F.col("key").isNull(), "key", "id", "h")).alias("one"))
     # Rows without a text are not copies of anything, whatever their keys.
-    plain = found.filter("class_id is null or class is null").select("id", "h")
-    chosen = stage(one.select("one.id", "one.h").unionByName(plain).distinct(), "chosen")
+    several = found.filter("class is not null").groupBy("class").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(F.col("key").isNull(), "key", "id", "h")).alias("one")
+    )
+    several = stage(several.filter("n > 1").select("class", "one.id", "one.h"), "several")
+    shared = found.join(several.select("class"), "class", "left_semi")
+    # Only documents of such classes are in question; rows that repeat key and text can't be told apart.
+    plain = F.max(F.col("class_id").isNull()).alias("plain")
+    times = shared.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n"), plain)
+    chosen = several.select("id", "h", F.lit(True).alias("one"))
+    asked = times.join(chosen, ["id", "h"], "left").select("id", "h", "n", (F.coalesce("one", F.lit(False)) | F.col("plain")).alias("stays"))
+    asked = stage(asked, "asked")
     packed = docs.select(
         F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("doc"),
         F.coalesce(docs[f"`{key}`"].cast("string"), F.lit("\0")).alias("id"),
         F.xxhash64(docs[f"`{text}`"]).alias("h"),
     )
-    # Rows that repeat key and text can't be told apart: one of them stays.
-    twice = stage(found.filter("class is not null").groupBy("id", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id", "h"), "twice")
+    # All other documents stay where they are: only those that may be asked for are shuffled with their texts.
+    maybe = possible(asked, ["id", "h"], asked.count())
+    rest = packed.filter(~maybe).select("doc")
+    # One plan at every size: neither side is one to broadcast.
+    met = packed.filter(maybe).join(asked.hint("merge"), ["id", "h"], "left").filter("stays is null or stays")
+    out = rest.unionByName(met.filter("n is null or n = 1").select("doc"))
+    twice = asked.filter("stays and n > 1").select("id", "h")
     if twice.isEmpty():
-        # One plan at every size: what stays is nearly as many rows as there are, never a side to broadcast.
-        return packed.join(chosen.hint("merge"), ["id", "h"], "left_semi").select("doc.*")
-    once = chosen.join(twice, ["id", "h"], "left_anti").hint("merge")
-    single = packed.join(once, ["id", "h"], "left_semi").select("doc")
-    repeated = packed.join(chosen.join(twice, ["id", "h"], "left_semi"), ["id", "h"], "left_semi")
-    return single.unionByName(repeated.groupBy("id", "h").agg(F.first("doc").alias("doc")).select("doc")).select("doc.*")
+        return out.select("doc.*")
+    repeated = packed.join(twice, ["id", "h"], "left_semi").groupBy("id", "h").agg(F.first("doc").alias("doc"))
+    return out.unionByName(repeated.select("doc")).select("doc.*")
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
@@ -284,38 +339,50 @@ def _classed(
     )
     families = components(stars)  # vertex, component
 
-    # Deal each family to blocks by hash; every pair of blocks is one group.
-    sizes = families.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = families.join(sizes, "component").select(
-        "vertex", F.col("component").alias("family"), blocks.alias("blocks"), F.pmod(F.xxhash64("vertex"), blocks).cast("int").alias("block")
+    # Deal each family to blocks by hash, of so many members and bytes on average.
+    own = families.join(vertices.select("vertex", "copies", "holder", "n"), "vertex").withColumnRenamed("component", "family")
+    own = stage(own, "own")
+    sizes = own.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum(8 * F.col("n")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    sizes = sizes.select("family", blocks.alias("blocks"), "bytes")
+    dealt = own.join(sizes, "family").select(
+        "vertex", "family", "blocks", F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int").alias("block"), "copies", "holder"
     )
-    dealt = stage(
-        dealt.join(vertices, "vertex").select("vertex", "family", "blocks", "block", "copies", "holder"), "dealt"
-    )
-    # The full set of a vertex comes from the text of one row that holds it.
+    dealt = stage(dealt, "dealt")
+    small = own.agg(F.sum(8 * F.col("n")).alias("bytes"), F.count(F.lit(1)).alias("members")).first()
+    n_bins = max((small["bytes"] or 0) // BIN_BYTES, small["members"] // (4 * BLOCK)) + 1
+    # The full set of a vertex comes from the text of one row that holds it; other texts stay behind the filter.
     holders = dealt.select("holder.id", "holder.h", "vertex")
-    sets = texts.join(holders, ["id", "h"]).select("vertex", "text")
+    sets = keep_possible(texts, holders, ["id", "h"], small["members"]).join(holders, ["id", "h"]).select("vertex", "text")
     sets = stage(sets.mapInArrow(_sets(size), "vertex binary, shingles binary").dropDuplicates(["vertex"]), "sets")
-    pair = lambda j: F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j"))
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), pair)
-    placed = dealt.select("*", F.explode(others).alias("pair")).join(sets, "vertex")
-    # Small families share groups, large ones have a group for each pair of blocks.
-    bins = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(dealt.count() // (4 * BLOCK) + 1))).otherwise(F.xxhash64("family"))
-    placed = placed.select(
-        bins.alias("bin"), F.col("blocks").alias("of"), F.col("pair.i").alias("i"), F.col("pair.j").alias("j"),
-        (F.col("block") != F.col("pair.i")).cast("int").alias("side"), "family", "vertex", "copies", "shingles",
+    # Small families share groups, large ones have a group for each block.
+    bins = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(n_bins))).otherwise(F.xxhash64("family", "block"))
+    placed = dealt.join(sets, "vertex").select(bins.alias("bin"), F.col("blocks").alias("of"), "block", "family", "vertex", "copies", "shingles")
+    inner = stage(
+        placed.groupBy("of", "bin", "block").applyInArrow(_verify_blocks(threshold), "vertex binary, root binary, rows bigint, texts bigint"),
+        "inner",
     )
-    found = stage(
-        placed.groupBy("of", "bin", "i", "j").applyInArrow(_verify(threshold), "vertex binary, other binary, rows bigint, texts bigint"),
-        "links",
+    pair = lambda j: F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j"))
+    others = F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("block")), pair)
+    large = dealt.filter("blocks > 1").join(inner.select("vertex", "root"), "vertex").join(sets, "vertex")
+    paired = large.select("*", F.explode(others).alias("pair")).select(
+        "family", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), (F.col("block") != F.col("pair.i")).cast("int").alias("side"),
+        "vertex", "root", "copies", "shingles",
     )
-    counts = found.filter("other is null").groupBy("vertex").agg(F.sum("rows").alias("rows"), F.sum("texts").alias("texts"))
-    classes = components(found.filter("other is not null").select(F.col("vertex").alias("a"), F.col("other").alias("b")))
-    least = classes.join(vertices, "vertex").groupBy("component").agg(F.min("least").alias("class_id"))
-    linked = stage(
-        classes.join(least, "component").join(counts, "vertex").select("vertex", "component", "class_id", "rows", "texts"), "linked"
+    across = stage(
+        paired.groupBy("family", "i", "j").applyInArrow(_verify_pairs(threshold), "vertex binary, other binary, rows bigint, texts bigint"),
+        "across",
     )
+    free(sets)
+    free(own)
+    edges = across.filter("other is not null").select(F.col("vertex").alias("a"), F.col("other").alias("b"))
+    joined = components(edges).select(F.col("vertex").alias("root"), "component")
+    counts = inner.select("vertex", "rows", "texts").unionByName(across.filter("other is null").select("vertex", "rows", "texts"))
+    counts = counts.groupBy("vertex").agg(F.sum("rows").alias("rows"), F.sum("texts").alias("texts"))
+    classes = inner.select("vertex", "root").join(joined, "root", "left").select("vertex", F.coalesce("component", "root").alias("component"))
+    classes = stage(classes.join(counts, "vertex").filter("texts > 0"), "classes")
+    least = classes.join(vertices.select("vertex", "least"), "vertex").groupBy("component").agg(F.min("least").alias("class_id"))
+    linked = stage(classes.join(least, "component").select("vertex", "component", "class_id", "rows", "texts"), "linked")
     known = vertices.join(linked, "vertex", "left").select(
         "vertex",
         F.coalesce("component", "vertex").alias("class"),
