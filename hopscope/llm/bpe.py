@@ -1,5 +1,9 @@
 """Byte-level BPE as a streaming transducer with bounded lookahead, and its inverse.
 
+Texts are fed in portions of ``PORTION`` characters. What may still change is
+held back: three characters that decide how the text before them is split, and
+a piece that is still open.
+
 A boundary between two tokens can be crossed by a later merge only if a token
 forms right after it, and what forms there depends on a bounded stretch of text.
 ``sufficient_lookahead`` computes that stretch from the merge list. The encoder
@@ -8,7 +12,8 @@ tokens that end before it are emitted, so memory is constant however long a
 piece is. The decoder keeps at most the bytes of one unfinished character.
 
 Defined cases: a null text counts as empty and has no ids; null ids give an empty
-text; repeated rows are encoded one by one; an empty table gives an empty result.
+text; repeated rows are encoded one by one; an empty table gives an empty result;
+there are no ties, as ranks differ. A very long text takes, besides its own ids, the memory of a portion.
 Special tokens of the file are matched in the text, as the file's library does.
 """
 
@@ -21,7 +26,7 @@ import re
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -66,7 +71,10 @@ _ON = {
 }
 _KIND = regex.compile(r"(\p{L})|(\p{N})|(\p{White_Space})|(.)", regex.S)
 _DECODE_ROWS = 256
-_ENCODE_BYTES = 2 << 20
+_ENCODE_BYTES = 1 << 20  # texts taken from a batch at once
+PORTION = 1 << 16  # characters fed to the encoder at once
+_MEMO = 1 << 17  # pieces whose ids are kept
+_MEMO_LENGTH = 64
 _HOLD = 3  # characters that can still change how the text before them is split
 SHORT = 64
 _NEVER = np.int32((1 << 31) - 1)
@@ -98,7 +106,11 @@ class Vocabulary:
         self.single = [self.ids[bytes([b])] for b in range(256)]
         self.bytes = {i: t for t, i in self.ids.items()} | {i: t.encode() for t, i in self.special.items()}
         self.lookahead = sufficient_lookahead(self.merges)
-        self.table = PairTable(self.ranks)
+
+    @cached_property
+    def table(self) -> PairTable:
+        """For ``merge_many``."""
+        return PairTable(self.ranks)
 
 
 def sufficient_lookahead(merges: list[tuple[bytes, bytes]]) -> int:
@@ -269,6 +281,7 @@ class Encoder:
         self.near, self.far = _splitters()
         self.specials = sorted(vocabulary.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")") if self.specials else None
+        self.memo: dict[str, bytes] = {}
         self._reset()
 
     def _reset(self) -> None:
@@ -296,13 +309,37 @@ class Encoder:
         self.text += kept
         return array("i", bytes(out))
 
+    def prime(self, texts: list[str | None]) -> None:
+        """Work out the ids of the short pieces these texts hold all at once, ahead of feeding them.
+
+        A piece cut by a portion's edge is merged when it is fed.
+        """
+        found: set[str] = set()
+        for text in texts:
+            for at in range(0, len(text or ""), PORTION):
+                part = text[at : at + PORTION]
+                found.update((self.far if _FAR.search(part) else self.near).findall(part))
+        fresh = [p for p in found if len(p) <= _MEMO_LENGTH and p not in self.memo]
+        if not fresh:
+            return
+        if len(self.memo) + len(fresh) > _MEMO:
+            self.memo.clear()
+        coded = [p.encode() for p in fresh]
+        offsets = np.concatenate([[0], np.cumsum([len(c) for c in coded])])
+        flat, place = merge_many(self.vocabulary, np.frombuffer(b"".join(coded), np.uint8), offsets)
+        data, place = flat.tobytes(), (4 * place).tolist()
+        self.memo.update((p, data[a:b]) for p, a, b in zip(fresh, place, place[1:]))
+
     def finish(self) -> array:
         out = self._advance(bytearray(), True)
         self._reset()
         return array("i", bytes(out))
 
     def encode(self, text: str) -> array:
-        return self.feed(text) + self.finish()
+        out = array("i")
+        for at in range(0, len(text), PORTION):
+            out += self.feed(text[at : at + PORTION])
+        return out + self.finish()
 
     def _advance(self, out: bytearray, last: bool) -> bytearray:
         if self.kind:
@@ -318,8 +355,9 @@ class Encoder:
                 n -= 1
                 held += len(pieces[n])
             pieces, self.text = pieces[:n], self.text[size - held :]
+        known = self.memo.get
         for piece in pieces:
-            out += self._piece(piece)
+            out += known(piece) or self._piece(piece)
         if not last and len(self.text) > self.window:
             self._begin(out)
         return out
@@ -363,9 +401,14 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
     def _piece(self, piece: str) -> bytes:
-        """A whole piece; a long one goes through a window at a time."""
+        """A whole piece; a long one goes through a window at a time. Ids of short ones are kept, so many at most."""
         if len(piece) <= self.window:
-            return _packed(merge(self.vocabulary, piece.encode()))
+            ids = _packed(merge(self.vocabulary, piece.encode()))
+            if len(piece) <= _MEMO_LENGTH:
+                if len(self.memo) >= _MEMO:
+                    self.memo.clear()
+                self.memo[piece] = ids
+            return ids
         out, rest = b"", b""
         for at in range(0, len(piece), self.window):
             ids, rest = self._settled(rest + piece[at : at + self.window].encode(), at + self.window >= len(piece))
@@ -469,24 +512,56 @@ def _share(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(file.read())
 
 
+def _encoded(encoder: Encoder, texts: pa.Array) -> pa.ListArray:
+    """Ids of each text (null: none), as an Arrow list."""
+    ids, ends = array("i"), [0]
+    texts = texts.to_pylist()
+    encoder.prime(texts)
+    for text in texts:
+        if text:
+            ids += encoder.encode(text)
+        ends.append(len(ids))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
+
+
+def _decoded(decoder: Decoder, lists: pa.ListArray) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(lists.value_lengths(), 0)))])
+    return pa.array(decoder.decode_many(np.asarray(lists.flatten()).astype(np.int64), ends), pa.string())
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", carry: list[str] | None = None) -> DataFrame:
     """The carried columns and ``ids``, array<int>."""
+    return _coded(docs, path, text, ids, None, carry)
+
+
+def round_trip(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", carry: list[str] | None = None
+) -> DataFrame:
+    """``encode`` with ``decoded``, the text that the ids stand for; one pass, so one vocabulary in a worker."""
+    return _coded(docs, path, text, ids, decoded, carry)
+
+
+def _coded(docs: DataFrame, path: str, text: str, ids: str, decoded: str | None, carry: list[str] | None) -> DataFrame:
     shared = _share(docs.sparkSession, path)
-    names = [c for c in (docs.columns if carry is None else carry) if c != ids]
+    names = [c for c in (docs.columns if carry is None else carry) if c not in (ids, decoded)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(_vocabulary(shared))
+        vocabulary = _vocabulary(shared)
+        encoder, decoder = Encoder(vocabulary), Decoder(vocabulary)
         for batch in words.slices(batches, "text", _ENCODE_BYTES):
-            found, ends = encoder.encode_many(batch.column("text").to_pylist())
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["row", "made"])
+            lists = _encoded(encoder, batch.column("text"))
+            columns = [batch.column("row"), lists]
+            if decoded is not None:
+                columns.append(_decoded(decoder, lists))
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "made", "back"][: len(columns)])
 
     # The carried columns travel in a struct, so they may have any name.
     row = F.struct(*(docs[f"`{c}`"] for c in names)) if names else F.struct(F.lit(1).alias("none"))
     packed = docs.select(row.alias("row"), docs[f"`{text}`"].alias("text"))
     schema = StructType([*packed.select("row").schema.fields]).add("made", ArrayType(IntegerType()))
-    made = packed.mapInArrow(run, schema)
-    return made.select(*(F.col("row")[c].alias(c) for c in names), F.col("made").alias(ids))
+    back = [] if decoded is None else [F.col("back").alias(decoded)]
+    made = packed.mapInArrow(run, schema if decoded is None else schema.add("back", StringType()))
+    return made.select(*(F.col("row")[c].alias(c) for c in names), F.col("made").alias(ids), *back)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded", keep_ids: bool = False) -> DataFrame:
@@ -499,10 +574,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", text: str = "decoded",
         for whole in batches:
             for at in range(0, whole.num_rows, _DECODE_ROWS):
                 batch = whole.slice(at, _DECODE_ROWS)
-                lists = batch.column(ids)
-                ends = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(lists.value_lengths(), 0)))])
-                made = decoder.decode_many(np.asarray(lists.flatten()).astype(np.int64), ends)
-                columns = [*(batch.column(c) for c in names), pa.array(made, pa.string())]
+                columns = [*(batch.column(c) for c in names), _decoded(decoder, batch.column(ids))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, text])
 
     return rows.select(*dict.fromkeys([*names, ids])).mapInArrow(run, rows.select(*names).schema.add(text, StringType()))

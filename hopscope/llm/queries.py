@@ -127,15 +127,13 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), carry=["doc_id"])
-    digests = encoded.select(
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), carry=["doc_id"])
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
-    decoded = bpe.decode(digests, tokenizer_path())
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def with_planted_periods(docs: DataFrame) -> DataFrame:
