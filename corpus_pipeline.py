@@ -37,11 +37,9 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in place of the text, with a digest of the text that the ids decode to."""
-    path = tokenizer_path()
-    encoded = bpe.encode(docs, path, carry=["doc_id", "lang", "source"])
-    encoded = encoded.withColumn("n_tokens", F.size("ids").cast("long"))
-    return bpe.decode(encoded, path, keep_ids=True).withColumn("decoded", F.sha2("decoded", 256)).withColumnRenamed(
-        "decoded", "decoded_sha256"
+    coded = bpe.round_trip(docs, tokenizer_path(), decoded="decoded_sha256", carry=["doc_id", "lang", "source"])
+    return coded.select(
+        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded_sha256", 256).alias("decoded_sha256")
     )
 
 
