@@ -10,6 +10,7 @@ from ..functions import tx_value_text
 from ..operators.receipts import ROLES, canonical_receipts
 from .columns import match_column, project_tolerant, union_promoting
 from .files import file_columns, list_parquet, path_exists, read_folder
+from .staging import stage
 
 # The column names of the stored tables.
 TX_COLUMNS = {
@@ -39,34 +40,63 @@ def read_receipts(
 
     Files are grouped by schema first (footers only, read by the executors), so
     that every file has its columns detected on its own names; the groups are
-    then united by name. ``limit_files`` takes the first files in path order,
-    ``limit_rows`` the first rows of each file. ``overrides`` go to
+    then united by name. A group is read by the widest folders that hold no
+    file of another schema, so one schema below ``root`` is one path, however
+    many files there are. Files that only Spark can open are one group, with
+    the columns that any of them has. ``limit_files`` takes the first files in
+    path order, ``limit_rows`` the first rows of each file. ``overrides`` go to
     ``canonical_receipts``.
     """
     files = list_parquet(spark, [root]).select(F.lit("receipts").alias("chain"), "path")
     if limit_files is not None:
         files = files.orderBy("path").limit(limit_files)
-    columns = file_columns(files)
-    layout = F.array_sort(F.collect_list(F.struct("pos", "name", "type")))
-    per_file = columns.groupBy("path").agg(layout.alias("layout"), F.max("error").alias("error"))
-    groups = per_file.groupBy("layout").agg(F.sort_array(F.collect_list("path")).alias("paths"), F.max("error").alias("error"))
-    # One entry per distinct schema; its file names are what any read lists.
-    parts = groups.select("paths", "error").orderBy(F.col("paths")[0]).collect()
-    broken = [p.error for p in parts if p.error]
-    if broken:
-        raise ValueError(f"unreadable receipt file: {broken[0]}")
-    if not parts:
+    units = receipt_units(files, whole_folders=limit_files is None)
+    groups: dict[str, list[str]] = {}
+    for row in units.orderBy("layout", "unit").toLocalIterator():
+        groups.setdefault(row.layout, []).append(row.unit)
+    if not groups:
         raise FileNotFoundError(f"no receipt files under {root}")
 
-    def part(paths: Sequence[str]) -> DataFrame:
-        df = spark.read.parquet(*paths)
+    def part(layout: str, paths: Sequence[str]) -> DataFrame:
+        reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        df = reader.option("mergeSchema", str(layout == _UNOPENED).lower()).parquet(*paths)
         numbered = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_idx"))
         if limit_rows is not None:
             numbered = numbered.filter(F.col("_idx") < limit_rows)
         ids = numbered.select("_file", "_idx", *[F.col(f"`{c}`") for c in df.columns])
         return canonical_receipts(ids, **overrides)
 
-    return union_promoting([part(p.paths) for p in parts])
+    in_order = sorted(groups.items(), key=lambda group: group[1][0])
+    return union_promoting([part(layout, paths) for layout, paths in in_order])
+
+
+_UNOPENED = ""
+
+
+def receipt_units(files: DataFrame, whole_folders: bool = True) -> DataFrame:
+    """``(layout, unit)``: what to read for each schema, from ``(chain, path)``.
+
+    A unit is the widest folder whose files all have that schema, or, below no
+    such folder, a file. With ``whole_folders=False`` the files are part of what
+    their folders hold, so every unit is a file.
+    """
+    columns = F.to_json(F.array_sort(F.collect_list(F.struct("pos", "name", "type"))))
+    layout = F.when(F.max("error").isNull(), F.sha2(columns, 256)).otherwise(F.lit(_UNOPENED))
+    per_file = stage(file_columns(files).groupBy("path").agg(layout.alias("layout")), "layouts")
+    if not whole_folders:
+        return per_file.select("layout", F.col("path").alias("unit"))
+    parts = F.split("path", "/")
+    depths = F.sequence(F.lit(1), F.size(parts) - 1)
+    folders = per_file.select("path", "layout", F.explode(depths).alias("depth")).withColumn(
+        "folder", F.array_join(F.slice(parts, F.lit(1), F.col("depth")), "/")
+    )
+    # A folder above all files is above the root as well: the root's own depth is the least to use.
+    kinds = folders.groupBy("folder", "depth").agg(F.min("layout").alias("a"), F.max("layout").alias("b"), F.count("*").alias("n"))
+    total = per_file.count()
+    root_depth = kinds.filter(F.col("n") == total).agg(F.max("depth")).first()[0] if total else 0
+    pure = kinds.filter((F.col("a") == F.col("b")) & (F.col("depth") >= root_depth)).select("folder", F.lit(True).alias("pure"))
+    widest = folders.join(pure, "folder").groupBy("path").agg(F.min(F.struct("depth", "folder"))["folder"].alias("folder"))
+    return per_file.join(widest, "path", "left").select("layout", F.coalesce("folder", "path").alias("unit")).distinct()
 
 
 def _chain_tables(spark: SparkSession, root: str, chains: Sequence[str], target: str, strict: bool):
