@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import parse_actions
 from ..functions.scalars import null_if_blank
 from ..sources.columns import match_column
-from ..sources.staging import stage, staging_root
+from ..sources.staging import stage
 from .receipts import EPISODE_COLUMNS
 
 # Receipt columns shown if present, best first.
@@ -42,6 +42,7 @@ def episode_view(
         number = F.row_number().over(Window.orderBy(*order)).cast("long") - 1
     else:
         top, number = _numbered(kept)
+    # The names of the shown columns.
     return top.select(
         number.alias("id"),
         F.col("EPISODE_TX_COUNT").alias("tx_count"),
@@ -58,8 +59,6 @@ def episode_view(
 
 def _numbered(ordered: DataFrame) -> tuple[DataFrame, Column]:
     """A sorted frame, stored, and its row numbers; the rows of each file are counted, not gathered."""
-    if staging_root(ordered.sparkSession) is None:
-        raise ValueError("numbering all rows needs a shared folder in spark.checkpoint.dir")
     stored = stage(ordered, "view")
     part = F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).cast("int")
     placed = stored.select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_row"))

@@ -24,8 +24,8 @@ well, the semi join that thins the transactions is a left-semi join AQE may
 split, identical timestamps are cut to N before they are shuffled, and copies
 of one transaction collapse to one.
 
-A slot is as long as the longest window. Slots over an hour are ordered in parts
-of at most an hour (or a 256th): each part is ranked by itself, and a small table
+A slot is as long as the longest window. Slots over three hours are ordered in parts
+of at most three hours (or a 256th): each part is ranked by itself, and a small table
 carries the last N times before a part to the transactions at its beginning. So
 the rows ordered together don't grow with the window.
 """
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.scalars import integer_div
 from .transactions import tx_order
 
-SLOT_PART_MINUTES = 60
+SLOT_PART_MINUTES = 180
 MOST_PARTS = 256
 LEVELS = 5
 FANOUT = 16

@@ -19,7 +19,8 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Prune first-N groups before they are shuffled.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
-    # Bloom filter from the small join side down to the big scan.
+    # Bloom filter from the small join side down to the big scan, where that side has a
+    # selective predicate; events have their own filter (operators/key_filter.py).
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # The default leaves it out where the small side is over 10 MB, as at scale.
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4GB",

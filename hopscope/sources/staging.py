@@ -11,7 +11,6 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-import warnings
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,34 +21,29 @@ _local_scratch: tempfile.TemporaryDirectory | None = None
 _open_blocks: list[list[str]] = []
 
 
-def staging_root(spark: SparkSession) -> str | None:
-    """Shared folder from the session; a scratch folder only in local mode."""
+def staging_root(spark: SparkSession) -> str:
+    """Shared folder from the session; a scratch folder only in local mode.
+
+    On a cluster without one it raises: executors don't see each other's
+    folders, and steps that go over a table again and again would repeat all
+    the work before them.
+    """
     global _local_scratch
     conf = spark.sparkContext.getConf()
     root = conf.get(_CHECKPOINT_DIR) or spark.conf.get(_CHECKPOINT_DIR, None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
-        return None
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
     if _local_scratch is None:
         _local_scratch = tempfile.TemporaryDirectory(prefix="hopscope-")
     return _local_scratch.name
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return a reader of it.
-
-    On a cluster without a shared folder the plan stays lazy, with a warning:
-    correct, but each reader computes it again.
-    """
+    """Write ``df`` once and return a reader of it."""
     spark = df.sparkSession
-    root = staging_root(spark)
-    if root is None:
-        warnings.warn(
-            f"{name} is computed again for every reader: set {_CHECKPOINT_DIR} to a shared folder", stacklevel=2
-        )
-        return df
-    path = f"{root.rstrip('/')}/hopscope-{name}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark).rstrip('/')}/hopscope-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if _open_blocks:
         _open_blocks[-1].append(path)
