@@ -154,6 +154,10 @@ ORACLES["canonical_receipts"] = f"""
 {_with(_BASE)} select receipt_id, recv as _recv, chain as _chain, {_iso('ts')} as _ts, src_chain as _src_chain,
   src_addr as _src_addr, src_hash as _src_tx_hash from canon"""
 
+ORACLES["valid_receipts"] = f"""
+{_with(_BASE)} select receipt_id, recv as _recv, chain as _chain from canon
+where receipt_id % 5 not in (0, 1) and receipt_id % 7 <> 0 and chain in ('eth', 'optimism')"""
+
 ORACLES["with_windows"] = f"""
 {_with(_BASE)} select receipt_id, {_iso('ts')} as _dst_start, {_iso('(ts + interval 180 minute)')} as _dst_end,
   {_iso('(ts - interval 60 minute)')} as _src_start, {_iso('ts')} as _src_end,
@@ -471,6 +475,10 @@ select 'all' as chain, count(*) as count, min(table_name) || '.parquet' as examp
   cast(min(n) as integer) as num_cols, min(first_columns) as columns
 from lists group by columns"""
 
+ORACLES["schema_groups_top"] = f"""
+select cast(rank as integer) as rank, count, example_file from (
+  select *, row_number() over (order by count desc, example_file) as rank from ({ORACLES["schema_groups"]})) where rank <= 5"""
+
 ORACLES["schema_global_union"] = f"""
 {_with(_COLS)} select column_name as name, count(distinct table_name) as chains_present from cols group by column_name"""
 
@@ -493,6 +501,7 @@ ORACLES["episode_view"] = f"""
 select id, n as tx_count, first_hash as first_tx, last_hash as last_tx, last_iso as last_ts, duration as duration_sec,
   recv as receiver, raw_chain as dst_chain, cast(ts as varchar) as receipt_ts from shown"""
 
+ORACLES["episode_view_first"] = ORACLES["episode_view"].replace("id < 2000", "id < 25")
 ORACLES["episode_view_all"] = ORACLES["episode_view"].replace(_VIEW, _VIEW_ALL)
 
 ORACLES["episode_event_preview"] = f"""

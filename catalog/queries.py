@@ -134,6 +134,20 @@ def canonical_receipts(spark, d):
     )
 
 
+@query
+def valid_receipts(spark, d):
+    """The filter at work: receivers that are no addresses, missing times, chains that aren't asked for."""
+    i = F.col("receipt_id")
+    spoilt = fx.receipts(spark, d).withColumns(
+        {
+            "DESTINATION_ADDRESS": F.when(i % 5 == 0, F.lit("nobody")).when(i % 5 == 1, F.lit(None)).otherwise(F.col("DESTINATION_ADDRESS")),
+            "DESTINATION_TIMESTAMP": F.when(i % 7 != 0, F.col("DESTINATION_TIMESTAMP")),
+        }
+    )
+    kept = hs.valid_receipts(hs.canonical_receipts(spoilt), [" ETH ", "optimism", ""])
+    return kept.select("receipt_id", "_recv", "_chain")
+
+
 @query
 def with_windows(spark, d):
     names = ("_dst_start", "_dst_end", "_src_start", "_src_end", "_dst_bucket", "_src_bucket")
@@ -577,6 +591,13 @@ def schema_groups(spark, d):
     )
 
 
+@query
+def schema_groups_top(spark, d):
+    """The five first groups only."""
+    groups = hs.schema_groups(_columns(spark, d))
+    return groups.select("rank", "count", F.substring_index("example_file", "/", -1).alias("example_file"))
+
+
 @query
 def schema_global_union(spark, d):
     return hs.schema_global_union(_columns(spark, d))
@@ -595,6 +616,12 @@ def episode_view(spark, d):
     return hs.episode_view(_episodes(spark, d), 2000, IDS).drop("actions")
 
 
+@query
+def episode_view_first(spark, d):
+    """A limit that leaves episodes out."""
+    return hs.episode_view(_episodes(spark, d), 25, IDS).drop("actions")
+
+
 @query
 def episode_view_all(spark, d):
     return hs.episode_view(_episodes(spark, d), 0, IDS).drop("actions")

@@ -80,6 +80,10 @@ where k.k <= e.event_id % 4
 
 def _over_events(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    # A small table is one file and so one scan task; its derived rows take all cores.
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() < cores:
+        events = events.repartition(cores)
     # The same rows as the cross join with the constants, but made in place.
     sql = sql.replace(_CROSS, _IN_PLACE).replace(_CROSS_CUT, "")
     escaped = sql.replace("{", "{{").replace("}", "}}")
