@@ -154,6 +154,8 @@ def find_repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         .filter("times > 1")
         .select("anchor")
     )
+    # Stored, as the other key sides below, so that the join deals both sides anew and can split a hot anchor.
+    again = stage(again, "again")
     anchors = texts.mapInArrow(
         _anchor_rows(length, True), "id string, h bigint, anchor bigint, context bigint, first int, last int"
     )
@@ -167,7 +169,6 @@ def find_repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
     whole = whole.select("id", "h", F.col("first").alias("lo"), (F.col("last") + length).alias("hi"))
 
     # Anchors with several contexts: compare the windows of one occurrence of each.
-    # Stored, so that the join below deals both sides anew and can split a hot anchor.
     several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
     several = stage(several, "several")
     open_ = contexts.join(several, "anchor", "left_semi").select("spot.id", "spot.h", "anchor", "spot.first", "spot.last")
@@ -181,6 +182,7 @@ def find_repeats(rows: DataFrame, length: int = LENGTH) -> DataFrame:
         "windows",
     )
     twice = windows.groupBy("anchor", "win").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor", "win")
+    twice = stage(twice, "twice")
     single = windows.join(twice, ["anchor", "win"], "left_semi")
     single = single.select("id", "h", F.col("start").alias("lo"), (F.col("start") + length).alias("hi"))
     return whole.unionByName(single).groupBy("id", "h").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
