@@ -27,6 +27,8 @@ COLUMNS = {
     "op8": "doc_id page_id lang",
     "op9": "doc_id n_words n_removed kept_sha256",
     "op10": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op11": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op12": "doc_id n_bytes n_tokens over_limit",
 }
 
 
@@ -35,13 +37,22 @@ def texts():
     return pq.read_table(f"{SF}/documents.parquet").to_pylist()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op13_embedding_whitening"}))
 def test_one_row_for_each_document(spark, texts, name):
     rows = queries()[name](spark, SF).collect()
     assert set(COLUMNS[name.split("_")[0]].split()) <= set(rows[0].asDict())
     assert sorted(r.doc_id for r in rows if r.doc_id is not None) == sorted(d["doc_id"] for d in texts)
 
 
+def test_one_row_for_each_vector_and_component(spark):
+    rows = queries()["op13_embedding_whitening"](spark, SF).collect()
+    vectors = pq.read_table(f"{SF}/embeddings.parquet").to_pylist()
+    want = sorted((v["vec_id"], k) for v in vectors for k in range(1, 33))
+    assert sorted((r.vec_id, r.component) for r in rows) == want
+    assert {r.n for r in rows} == {len(vectors)} and len({r.identity_error for r in rows}) == 1
+    assert {"deviation", "whitened", "explained"} <= set(rows[0].asDict())
+
+
 def kept_by_rules(docs):
     found, hosts = {}, collections.defaultdict(collections.Counter)
     for d in docs:
