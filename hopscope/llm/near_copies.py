@@ -255,7 +255,10 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", **opti
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """One document of each class, the one of the least key, with its own columns only."""
-    found = stage(_classed(docs, text, key, **options).select("key", "id", "h", "class", "class_id"), "classes")
+    classed, read = _classed(docs, text, key, **options)
+    found = stage(classed.select("key", "id", "h", "class", "class_id"), "classes")
+    for table in read:
+        free(table)
     # A class is known by its vertex: keys may repeat, so its least key can be that of another class, too.
     # Rows without a text are not copies of anything, whatever their keys.
     several = found.filter("class is not null").groupBy("class").agg(
@@ -269,6 +272,8 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", **options
     chosen = several.select("id", "h", F.lit(True).alias("one"))
     asked = times.join(chosen, ["id", "h"], "left").select("id", "h", "n", (F.coalesce("one", F.lit(False)) | F.col("plain")).alias("stays"))
     asked = stage(asked, "asked")
+    free(found)
+    free(several)
     packed = docs.select(
         F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("doc"),
         F.coalesce(docs[f"`{key}`"].cast("string"), F.lit("\0")).alias("id"),
@@ -295,7 +300,7 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", **options)
     above the threshold, equal sets included; ``n_linked_texts``: other
     distinct sets among them.
     """
-    return _classed(docs, text, key, **options).drop("class")
+    return _classed(docs, text, key, **options)[0].drop("class")
 
 
 def _classed(
@@ -305,8 +310,11 @@ def _classed(
     threshold: float = THRESHOLD,
     recall: float = RECALL,
     size: int = SHINGLE,
-) -> DataFrame:
-    """The rows of ``classes`` with ``class``, the vertex a class is known by; null for a null text, which is in none."""
+) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows of ``classes`` with ``class``, the vertex a class is known by, and the staged tables they are read from.
+
+    ``class`` is null for a null text, which is in none.
+    """
     bands, rows = choose_bands(threshold, recall)
     texts = keyed(docs, text, key)
     kind = docs.schema[key].dataType.simpleString()
@@ -342,6 +350,8 @@ def _classed(
     # Deal each family to blocks by hash, of so many members and bytes on average.
     own = families.join(vertices.select("vertex", "copies", "holder", "n"), "vertex").withColumnRenamed("component", "family")
     own = stage(own, "own")
+    free(stars)
+    free(families)
     sizes = own.groupBy("family").agg(F.count(F.lit(1)).alias("members"), F.sum(8 * F.col("n")).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     sizes = sizes.select("family", blocks.alias("blocks"), "bytes")
@@ -383,6 +393,8 @@ def _classed(
     classes = stage(classes.join(counts, "vertex").filter("texts > 0"), "classes")
     least = classes.join(vertices.select("vertex", "least"), "vertex").groupBy("component").agg(F.min("least").alias("class_id"))
     linked = stage(classes.join(least, "component").select("vertex", "component", "class_id", "rows", "texts"), "linked")
+    for table in (dealt, inner, across, classes):
+        free(table)
     known = vertices.join(linked, "vertex", "left").select(
         "vertex",
         F.coalesce("component", "vertex").alias("class"),
@@ -395,5 +407,5 @@ def _classed(
     none = texts.filter("text is null").select(
         "key", "id", "h", F.lit(None).cast("binary").alias("class"), F.col("key").alias("class_id"), *(F.lit(0).cast("long").alias(c) for c in ("n_copies", "n_links", "n_linked_texts"))
     )
-    return out.unionByName(none)
+    return out.unionByName(none), [signed, vertices, linked]
 
