@@ -2,14 +2,15 @@
 
 A pair is a good and a bad labelled text. Its logistic loss is taken on the
 difference of their features, so only what sets the two apart counts and no
-intercept is learnt. Pairs come from a Spark join on pair numbers, a fixed
-number for each sampled row. The score of a text is the logistic of its rank
+intercept is learnt. Pairs come from a Spark join on pair numbers, in which
+every labelled row takes part. The score of a text is the logistic of its rank
 value, set so that the ``threshold`` falls on the quantile that the share of
 bad labels gives.
 
 Features are shares of characters and words, so that long and short texts
-compare; the length itself enters as a logarithm. The fit uses at most
-``labels.MOST_PER_CLASS`` rows of each class; scoring covers all rows.
+compare; the length itself enters as a logarithm. The fit uses all labelled
+rows outside the held-out fold: the tasks add up the loss and its slopes over
+the pairs, and only these sums and the counts of the quantile reach the driver.
 
 Defined cases: null and blank texts have features of 0; without labels of both
 classes every score is 0.5; repeated rows are scored one by one; an empty table
@@ -24,14 +25,15 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hopscope.llm import labels as lab
 from hopscope.llm import words
 from hopscope.sources.staging import stage
 
-PAIRS_PER_ROW = 4
+NUMBER_BUCKETS = 4096
+QUANTILE_BINS = 1024
 THRESHOLD = 0.7
 FEATURES = (
     "upper", "digit", "mark", "symbol", "bar", "bang", "other_ascii", "long_words", "short_words", "word_chars",
@@ -122,88 +124,123 @@ class Ranking(NamedTuple):
         return lab.sigmoid((self.value(features) - self.cut) / self.scale + shift)
 
 
-def sampled_features(docs: DataFrame, role: dict, text: str, key: str) -> DataFrame:
-    """(id, label, calibrates, features) of the sampled rows; other texts are not measured."""
-    known = docs.sparkSession.sparkContext.broadcast(role)
+def labelled_features(docs: DataFrame, known: DataFrame, text: str, key: str) -> DataFrame:
+    """(id, label, features) of all labelled rows; the narrow features meet the labels, not the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [known.value.get(k) for k in batch.column("id").to_pylist()]
-            batch = batch.filter(pa.array([x is not None for x in found]))
-            for part in words.slices(iter([batch]), "text"):
-                roles = [known.value[k] for k in part.column("id").to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("id"),
-                        pa.array([v for v, _ in roles], pa.int32()),
-                        pa.array([c for _, c in roles], pa.bool_()),
-                        pa.array(measure(part.column("text")).tolist(), pa.list_(pa.float64())),
-                    ],
-                    names=["id", "label", "calibrates", "features"],
-                )
+        for part in words.slices(batches, "text"):
+            features = pa.array(measure(part.column("text")).tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([part.column("id"), features], names=["id", "features"])
 
     texts = docs.select(docs[f"`{key}`"].cast("string").alias("id"), docs[f"`{text}`"].alias("text"))
-    return texts.mapInArrow(run, "id string, label int, calibrates boolean, features array<double>")
+    texts = texts.filter(F.col("id").isNotNull() & ~lab.held_out(F.col("id")))
+    measured = texts.mapInArrow(run, "id string, features array<double>")
+    return measured.join(known.withColumnRenamed("key", "id"), "id").select("id", "label", "features")
+
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows with their ``number``, gapless from 0 within each label, by buckets of a hash."""
+    hashed = rows.withColumn("_hash", F.xxhash64("id", "features"))
+    hashed = hashed.withColumn("_bucket", F.pmod("_hash", F.lit(NUMBER_BUCKETS)))
+    before = Window.partitionBy("label").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = hashed.groupBy("label", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    # One row for each bucket, a fixed number whatever the table.
+    starts = sizes.select("label", "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("label", "_bucket").orderBy("_hash", "id", "features"))
+    joined = hashed.withColumn("_place", place).join(starts, ["label", "_bucket"])
+    return joined.select("label", "features", (F.col("_start") + F.col("_place") - 1).alias("number"))
 
-def preference_pairs(rows: DataFrame, per_row: int = PAIRS_PER_ROW) -> DataFrame:
-    """(good, bad) features: each row of the smaller class meets ``per_row`` rows of the other, by number.
 
-    Rows of a class are numbered by a hash of their id, and row i of the smaller
-    class meets the rows i, i + n, i + 2n, ... of the larger one, as far as there
-    are any; so a row of the larger class is used once at most.
+def preference_pairs(rows: DataFrame) -> DataFrame:
+    """(good, bad) features: every row is in a pair, by number.
+
+    Row i of the smaller class meets the rows i, i + n, i + 2n, ... of the
+    larger one, so each row of the larger class is used once.
     """
     counts = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     small, large = sorted((0, 1), key=lambda v: counts.get(v, 0))
     n = max(1, counts.get(small, 0))
-    # Both numberings are over the bounded sample.
-    number = F.expr("row_number() over (partition by label order by xxhash64(id), id) - 1")
-    numbered = rows.withColumn("number", number)
-    few = numbered.filter(F.col("label") == small).select("number", F.col("features").alias("few"))
-    many = numbered.filter((F.col("label") == large) & (F.col("number") < n * per_row))
-    many = many.select(F.pmod("number", F.lit(n)).alias("number"), F.col("features").alias("many"))
+    by_number = numbered(rows)
+    few = by_number.filter(F.col("label") == small).select("number", F.col("features").alias("few"))
+    many = by_number.filter(F.col("label") == large).select(F.pmod("number", F.lit(n)).alias("number"), F.col("features").alias("many"))
     good, bad = ("few", "many") if small == 1 else ("many", "few")
     return few.join(many, "number").select(F.col(good).alias("good"), F.col(bad).alias("bad"))
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    flat = column.combine_chunks().flatten()
-    return np.asarray(flat).reshape(-1, len(FEATURES))
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.flatten()).reshape(-1, len(FEATURES))
+
+
+def middle_and_spread(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and standard deviation of each feature over both sides of all pairs."""
+    size = range(len(FEATURES))
+    found = [F.array(*[f(F.get(side, F.lit(i))) for i in size]) for side in ("good", "bad") for f in (F.avg, F.var_pop)]
+    good, good_var, bad, bad_var = (np.array(x) for x in pairs.agg(*[x.alias(f"x{k}") for k, x in enumerate(found)]).first())
+    spread = np.sqrt((good_var + bad_var) / 2 + ((good - bad) / 2) ** 2)
+    return (good + bad) / 2, np.maximum(spread, 1e-6)
+
+
+def fit_pairs(pairs: DataFrame, middle: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Weights by Newton's method: a pass over all pairs adds up the loss, its slope and its curve."""
+    size = len(FEATURES)
+
+    def sums(w: np.ndarray) -> tuple[int, float, np.ndarray, np.ndarray]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(2 + size + size * size)
+            for batch in batches:
+                good, bad = (np.clip((_matrix(batch.column(c)) - middle) / spread, -8, 8) for c in ("good", "bad"))
+                ones = np.ones(len(good))
+                n, loss, slope, curve = lab.logistic_sums(good - bad, ones, ones, w)
+                total += np.concatenate([[n, loss], slope, curve.ravel()])
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+        parts = pairs.mapInArrow(run, "sums array<double>").select(F.posexplode("sums").alias("at", "part"))
+        total = np.zeros(2 + size + size * size)
+        for row in parts.groupBy("at").agg(F.sum("part").alias("part")).collect():
+            total[row["at"]] = row["part"]
+        return int(total[0]), float(total[1]), total[2 : 2 + size], total[2 + size :].reshape(size, size)
+
+    return lab.newton(sums, size)
+
+
+def at_rank(values: DataFrame, rank: int) -> float:
+    """The ``value`` with exactly ``rank`` rows before it in order: counts in bins, again within the bin that holds it."""
+    value = F.col("value")
+    low, high = values.agg(F.min(value), F.max(value)).first()
+    before = 0
+    while low < high:
+        place = F.least(F.floor((value - low) / (high - low) * QUANTILE_BINS), F.lit(QUANTILE_BINS - 1))
+        inside = values.filter(value.between(low, high)).groupBy(place.alias("bin"))
+        for row in sorted(inside.agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")).collect()):
+            if before + row.n > rank:
+                break
+            before += row.n
+        low, high = row.low, row.high
+    return low
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality") -> Ranking | None:
-    """The fitted ranking, or None without labelled rows of both classes. The pairs, a bounded number, reach the driver."""
-    role = lab.sample(labels, label, key)
-    if {v for v, _ in role.values()} != {0, 1}:
+    """The fitted ranking over all labelled rows, or None without such rows of both classes."""
+    known = lab.known(labels, label, key)
+    if known.select("label").distinct().count() < 2:
         return None
-    rows = stage(sampled_features(docs, role, text, key), "sampled-features")
-    pairs = preference_pairs(rows.filter("not calibrates").drop("calibrates")).toArrow()
-    if not pairs.num_rows:
+    rows = stage(labelled_features(docs, known, text, key), "labelled-features")
+    if rows.select("label").distinct().count() < 2:
         return None
-    good, bad = _matrix(pairs["good"]), _matrix(pairs["bad"])
-    both = np.concatenate([good, bad])
-    middle, spread = both.mean(axis=0), np.maximum(both.std(axis=0), 1e-6)
-    scaled = [np.clip((x - middle) / spread, -8, 8) for x in (good, bad)]
-    weight = lab.fit_logistic(scaled[0] - scaled[1], np.ones(len(good)), ridge=1e-3)
-    ranking = Ranking(middle, spread, weight)
-    held = rows.filter("calibrates").select("label", "features").toArrow()
-    if not held.num_rows:
-        return ranking
-    value, y = ranking.value(_matrix(held["features"])), np.asarray(held["label"])
-    # Bad rows past the bound of the sample are weighted back by the classes' shares in the labels.
-    shares = {r.label: r.n for r in labels.filter(~lab.held_out(F.col(key))).groupBy(F.col(label).cast("int").alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    weights = np.array([shares.get(int(v), 0) / max(1, (y == v).sum()) for v in y], float)
-    return ranking._replace(cut=_quantile(value, weights, y), scale=max(1e-6, float(np.std(value)) / 4))
-
-
-def _quantile(value: np.ndarray, weights: np.ndarray, y: np.ndarray) -> float:
-    """Middle of the step at which the weighted share of values below is the share of label 0."""
-    order = np.argsort(value, kind="stable")
-    share = np.cumsum(weights[order]) / max(weights.sum(), 1e-12)
-    bad = weights[y == 0].sum() / max(weights.sum(), 1e-12)
-    at = int(np.searchsorted(share, bad - 1e-9))
-    lower, upper = value[order[min(at, len(order) - 1)]], value[order[min(at + 1, len(order) - 1)]]
-    return float((lower + upper) / 2)
+    pairs = stage(preference_pairs(rows), "preference-pairs")
+    middle, spread = middle_and_spread(pairs)
+    ranking = Ranking(middle, spread, fit_pairs(pairs, middle, spread))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = pa.array(ranking.value(_matrix(batch.column("features"))))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), value], names=["label", "value"])
+
+    values = stage(rows.select("label", "features").mapInArrow(run, "label int, value double"), "rank-values")
+    bad, deviation = values.agg(F.count_if(F.col("label") == 0), F.stddev_pop("value")).first()
+    # Middle of the step at which as many values lie below as there are rows of label 0.
+    cut = (at_rank(values, bad - 1) + at_rank(values, bad)) / 2
+    return ranking._replace(cut=cut, scale=max(1e-6, deviation / 4))
 
 
 def score(docs: DataFrame, ranking: Ranking | None, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:

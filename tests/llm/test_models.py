@@ -168,6 +168,31 @@ def test_quality_ranking(spark, small, odd, empty):
     assert preferences.fit(small(rows), marks.limit(0)) is None
 
 
+def test_every_labelled_row_is_in_a_pair(spark):
+    width = len(preferences.FEATURES)
+    rows = [(str(i), int(i < 3), [float(i)] * width) for i in range(100)] + [("7", 0, [7.0] * width)]
+    pairs = preferences.preference_pairs(spark.createDataFrame(rows, "id string, label int, features array<double>").repartition(4)).collect()
+    assert sorted(p.bad[0] for p in pairs) == sorted([float(i) for i in range(3, 100)] + [7.0])
+    used = [sum(p.good[0] == i for p in pairs) for i in range(3)]
+    assert sum(used) == 98 and max(used) - min(used) <= 1
+
+
+def test_quality_fit_takes_all_labelled_rows(spark, small):
+    rows, marks = labelled(spark)
+    ranking = preferences.fit(small(rows), marks)
+    role = {r.doc_id: r.quality for r in marks.filter(~labels.held_out(F.col("doc_id"))).collect()}
+    values = np.sort(ranking.value(preferences.measure(pa.array([t for k, t in rows if k in role]))))
+    bad = sum(v == 0 for v in role.values())
+    assert abs(ranking.cut - (values[bad - 1] + values[bad]) / 2) < 1e-9 and abs(ranking.scale - values.std() / 4) < 1e-9
+
+
+def test_value_at_a_rank(spark):
+    values = np.concatenate([np.random.default_rng(3).normal(size=300) ** 3, np.full(50, 0.25), [1e9, -1e9]])
+    frame = spark.createDataFrame([(float(v),) for v in values], "value double")
+    for rank in (0, 1, 150, 200, 350, 351):
+        assert preferences.at_rank(frame, rank) == np.sort(values)[rank]
+
+
 def test_labels_of_the_held_out_fold_are_not_read(spark):
     rows = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
     role = labels.sample(rows, "toxic", most=50)
