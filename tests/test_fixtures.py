@@ -24,6 +24,16 @@ def test_rows_of_a_task_do_not_grow_with_the_table(spark, tmp_path, monkeypatch)
     assert sorted(small.collect()) == whole and len(whole) == 1500
 
 
+def test_files_of_a_lake_grow_with_the_table(spark, tmp_path, monkeypatch):
+    d = events(spark, tmp_path)
+    monkeypatch.setattr(fx, "ROWS_PER_TASK", 20, raising=False)
+    root = fx.write_lake(spark, d)
+    for table in ("transactions", "decoded_events"):
+        assert list_parquet(spark, [f"{root}/eth/{table}"]).count() > 8
+    assert list_parquet(spark, [f"{root}/receipts"]).count() == 2
+    assert sum(spark.read.parquet(f"{root}/{c}/transactions").count() for c in fx.CHAINS) == 600
+
+
 def test_merged_partitions_are_small_unless_set(spark):
     key, was = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     try:
