@@ -40,14 +40,16 @@ def src_probes(resolved: DataFrame, id_cols: Sequence[str]) -> DataFrame:
     ).filter(F.col("chain").isNotNull() & F.startswith("actor", F.lit("0x")))
 
 
-def collect_phase(probes: DataFrame, by_actor: DataFrame, config: EpisodeConfig = EpisodeConfig()) -> DataFrame:
+def collect_phase(
+    probes: DataFrame, by_actor: DataFrame, config: EpisodeConfig = EpisodeConfig(), expected: int | None = None
+) -> DataFrame:
     """Capped, numbered actions of the probes, in long form.
 
     Probes of both phases can be passed together: the transactions are then
-    read and ordered once for both.
+    read and ordered once for both. ``expected`` is as in ``first_n_join``.
     """
     slot = max(config.window_minutes, config.pre_window_minutes, 1)
-    pairs = first_n_join(probes, by_actor, config.max_txs_per_episode, slot)
+    pairs = first_n_join(probes, by_actor, config.max_txs_per_episode, slot, expected)
     return cap_actions(pairs, config.id_cols, config.max_txs_per_episode)
 
 

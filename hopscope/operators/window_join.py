@@ -37,6 +37,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scalars import integer_div
+from .key_filter import keep_possible
 from .transactions import tx_order
 
 SLOT_PART_MINUTES = 180
@@ -52,16 +53,20 @@ def window_span(probes: DataFrame, start: str = "w0", end: str = "w1") -> DataFr
     return probes.agg(F.min(start).alias("lo"), F.max(end).alias("hi"))
 
 
-def first_n_join(probes: DataFrame, by_actor: DataFrame, n: int, slot_minutes: int) -> DataFrame:
+def first_n_join(
+    probes: DataFrame, by_actor: DataFrame, n: int, slot_minutes: int, expected: int | None = None
+) -> DataFrame:
     """Pairs that can survive a cap of ``n`` per probe; exact after the cap.
 
     ``probes`` carries PROBE_COLUMNS next to its own id columns, ``by_actor``
     comes from ``tx_by_actor``; ``slot_minutes`` is at least the longest window.
+    For stored probes, ``expected`` slots that they touch size a filter that drops
+    the other transactions before they are shuffled.
     """
     probes = probes.filter((F.col("w0") < F.col("w1")) & F.col("chain").isNotNull() & F.col("actor").isNotNull())
     width = slot_minutes * 60_000_000
     parts = slot_parts(slot_minutes)
-    near = _touched_slots(by_actor, probes, width)
+    near = _touched_slots(by_actor, probes, width, expected)
     if parts > 1:
         part = integer_div(F.col("_us") - F.col("_slot") * width, -(-width // parts)).cast("int")
         near = near.withColumn("_part", part).repartition(*_SLOT, "_part")
@@ -82,13 +87,15 @@ def _slots(start: str, end: str, width: int) -> Column:
     return F.explode(F.sequence(first, last))
 
 
-def _touched_slots(by_actor: DataFrame, probes: DataFrame, width: int) -> DataFrame:
+def _touched_slots(by_actor: DataFrame, probes: DataFrame, width: int, expected: int | None) -> DataFrame:
     """Transactions in a slot that some window of their actor touches."""
-    slots = probes.select("chain", "actor", _slots("w0", "w1", width).alias("_slot")).distinct()
+    slots = probes.select("chain", "actor", _slots("w0", "w1", width).alias("_slot"))
     timed = by_actor.withColumn("_us", F.unix_micros("block_timestamp")).withColumn(
         "_slot", integer_div(F.col("_us"), width)
     )
-    return timed.join(slots, ["chain", "actor", "_slot"], "left_semi")
+    if expected is not None:
+        timed = keep_possible(timed, slots, list(_SLOT), expected)
+    return timed.join(slots.distinct(), list(_SLOT), "left_semi")
 
 
 def _without_copies(tx: DataFrame, parts: int) -> DataFrame:

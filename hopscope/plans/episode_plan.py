@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..config import EpisodeConfig
 from ..operators.episodes import align_back, assemble_episodes, collect_phase, dst_probes, src_probes
 from ..operators.events import attach_events, capped_events_of, decode_events, events_per_tx, normalize_events
+from ..operators.key_filter import keep_possible
 from ..operators.receipts import valid_receipts, with_windows
 from ..operators.source_actor import resolve_source_actor
 from ..operators.transactions import normalize_transactions, prune_to_span, tx_by_actor
@@ -32,16 +33,20 @@ def episode_probes(receipts: DataFrame, tx: DataFrame, config: EpisodeConfig = E
     the very end.
     """
     slim = receipts.select(*config.id_cols, *_PROBE_INPUTS)
-    windowed = with_windows(valid_receipts(slim, config.chains), config)
+    # Read for the span, the filter, the keys and the windows, so their source is gone through once.
+    windowed = stage(with_windows(valid_receipts(slim, config.chains), config), "windows")
     source_side = prune_to_span(tx, "block_timestamp", window_span(windowed, "_src_start", "_src_end"))
-    resolved = resolve_source_actor(windowed, normalize_transactions(source_side), config)
+    asked = windowed.select(F.col("_src_chain").alias("chain"), F.col("_src_tx_hash").alias("transaction_hash"))
+    possible = keep_possible(normalize_transactions(source_side), asked, list(asked.columns), windowed.count())
+    resolved = resolve_source_actor(windowed, possible, config)
     return dst_probes(windowed, config.id_cols).unionByName(src_probes(resolved, config.id_cols))
 
 
 def episode_actions(probes: DataFrame, tx: DataFrame, config: EpisodeConfig = EpisodeConfig()) -> DataFrame:
     """Capped actions of both phases in long form, from one pass over ``tx``."""
     in_range = normalize_transactions(prune_to_span(tx, "block_timestamp", window_span(probes)))
-    actions = collect_phase(probes, tx_by_actor(in_range, config.include_to_address), config)
+    # The probes are staged, so counting them opens footers only.
+    actions = collect_phase(probes, tx_by_actor(in_range, config.include_to_address), config, 2 * probes.count())
     return actions.select(*config.id_cols, *_ACTION_COLUMNS)
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..config import TraceConfig
 from ..operators.events import capped_events_of, decode_events, events_per_tx, normalize_events
+from ..operators.key_filter import keep_possible
 from ..operators.trace import TX_KEY, explode_actions, trace_rows, trace_span, trace_with_events, trace_with_meta
 from ..operators.transactions import normalize_transactions, prune_to_span
 from ..sources.columns import match_column
@@ -22,14 +23,16 @@ def joined_trace(
     """
     span = trace_span(actions)
     meta = normalize_transactions(prune_to_span(tx, "block_timestamp", span), keep_value_text=False)
-    trace = trace_with_meta(actions, meta)
+    # The actions are staged, so counting them opens footers only.
+    n = actions.count()
+    asked = actions.select("chain", F.col("tx_hash").alias("transaction_hash"))
+    trace = trace_with_meta(actions, keep_possible(meta, asked, list(asked.columns), n))
     if events is None:
         events = actions.sparkSession.createDataFrame([], "chain string, tx_hash string")
     ts_col = match_column(events.columns, ["block_timestamp"])
     if ts_col is not None:
         events = prune_to_span(events, ts_col, span)
-    # The actions are staged, so counting them opens footers only.
-    kept = capped_events_of(normalize_events(events), actions.select(*TX_KEY), config.max_events_per_tx, actions.count())
+    kept = capped_events_of(normalize_events(events), actions.select(*TX_KEY), config.max_events_per_tx, n)
     return trace_with_events(trace, events_per_tx(decode_events(kept)))
 
 

@@ -10,6 +10,7 @@ import hopscope as hs
 from hopscope.operators.events import capped_events_of
 from hopscope.operators.key_filter import BITS_PER_KEY, LEAST_WORDS, MOST_WORDS, filter_words, keep_possible
 from hopscope.plans.trace_plan import build_action_trace
+from hopscope.sources.staging import stage
 
 EVENTS = "chain string, transaction_hash string, log_index long, address string, event_hash string, event_signature string, topics string, args_json string, data string, block_timestamp timestamp"
 
@@ -104,3 +105,31 @@ def test_the_filter_holds_the_hash_few_times(spark):
     plan = keep_possible(rows, rows.filter("tx_hash > '0x5'"), ["tx_hash"], 10)._jdf.queryExecution().optimizedPlan().toString()
     (condition,) = [line for line in plan.split("\n") if "Filter" in line and "subquery" in line]
     assert 1 <= condition.count("xxhash64(") <= 3
+
+
+def test_transactions_pass_the_filter_before_a_shuffle(no_broadcast, tmp_path):
+    """Each of the three readings of the transactions cuts them at the scan."""
+    spark = no_broadcast
+    schema = "chain string, transaction_hash string, block_timestamp timestamp, from_address string, to_address string"
+    at = "2024-01-01 00:30:00"
+    rows = [("eth", f"0x{i}", "0xa" if i < 5 else f"0xb{i}", "0xc") for i in range(200)]
+    made = spark.createDataFrame(rows, "chain string, transaction_hash string, from_address string, to_address string")
+    made.select("chain", "transaction_hash", F.lit(at).cast("timestamp").alias("block_timestamp"), "from_address", "to_address").write.parquet(str(tmp_path / "tx"))
+    tx = spark.read.schema(schema).parquet(str(tmp_path / "tx"))
+    receipt = [(1, "0xa", "eth", "2024-01-01 00:00:00", "eth", "0x3"), (2, "0xnone", "eth", "2024-01-01 01:00:00", "eth", "0x7"), (3, None, "eth", None, None, None)]
+    columns = "receipt_id long, DESTINATION_ADDRESS string, DESTINATION_CHAIN string, DESTINATION_TIMESTAMP string, SOURCE_CHAIN string, SOURCE_TX_HASH string"
+    receipts = hs.canonical_receipts(spark.createDataFrame(receipt, columns))
+    config = hs.EpisodeConfig(id_cols=("receipt_id",))
+    windowed = hs.episode_probes(receipts, tx, config)
+    senders = exchanges_with(windowed, "from_address")
+    assert senders and all("shiftleft" in x for x in senders)
+    probes = stage(windowed, "probes")
+    actions = hs.episode_actions(probes, tx, config)
+    assert all("shiftleft" in x for x in exchanges_with(actions, "to_address"))
+    got = sorted((r.receipt_id, r.phase, r.transaction_hash) for r in actions.collect())
+    # The sender of 0x3 is the receiver, whose five transactions follow; 0x7 was sent by another address in the hour before.
+    assert got == [(1, "dst_post", f"0x{i}") for i in range(5)] + [(2, "src_pre", "0x7")]
+    episodes = hs.build_episodes(receipts, tx, None, config)
+    trace = build_action_trace(episodes, tx, None, hs.TraceConfig(id_cols=("receipt_id",)))
+    assert "shiftleft" in min(exchanges_with(trace, "from_address"), key=len)
+    assert sorted((r.tx_hash, r.from_address) for r in trace.collect()) == [(f"0x{i}", "0xa") for i in range(5)] + [("0x7", "0xb7")]
