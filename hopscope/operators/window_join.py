@@ -87,7 +87,7 @@ def _slots(start: str, end: str, width: int) -> Column:
     return F.explode(F.sequence(first, last))
 
 
-def _touched_slots(by_actor: DataFrame, probes: DataFrame, width: int, expected: int | None) -> DataFrame:
+def _touched_slots(by_actor: DataFrame, probes: DataFrame, width: int, expected: int | None = None) -> DataFrame:
     """Transactions in a slot that some window of their actor touches."""
     slots = probes.select("chain", "actor", _slots("w0", "w1", width).alias("_slot"))
     timed = by_actor.withColumn("_us", F.unix_micros("block_timestamp")).withColumn(
