@@ -2,39 +2,52 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is
 written as Parquet and read again as the next one's ``docs``. All but the last
-return the columns of ``documents``.
+return the columns of ``documents``. A stage called alone bounds the batches
+that reach Python, too.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hopscope.llm import bpe, decontaminate, near_copies, rules, secrets
 from hopscope.llm.queries import tokenizer_path
+from hopscope.session import bound_batches
 from hopscope.sources.staging import stage
 
 
+def bounded(step):
+    return functools.wraps(step)(lambda spark, docs, sf_dir: step(bound_batches(spark), docs, sf_dir))
+
+
+@bounded
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules, or whose host does, go."""
     return rules.keep_good(docs)
 
 
+@bounded
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies the document of the least id stays."""
     return near_copies.keep_one(docs)
 
 
+@bounded
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@bounded
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; every document stays."""
     return secrets.redact(docs)
 
 
+@bounded
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in place of the text, with a digest of the text that the ids decode to."""
     coded = bpe.round_trip(docs, tokenizer_path(), decoded="decoded_sha256", carry=["doc_id", "lang", "source"])

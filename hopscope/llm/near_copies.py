@@ -129,17 +129,19 @@ def _sets(size: int):
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Number of common shingles of each pair, exact; memory bounded by cutting the common universe."""
-    universe, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    # A block against itself is laid out once.
+    every, first = (left, 0) if right is left else ([*left, *right], len(left))
+    universe, place = np.unique(np.concatenate(every), return_inverse=True)
     out = np.zeros((len(left), len(right)), np.float64)
-    rows = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in [*left, *right]])
+    rows = np.repeat(np.arange(len(every)), [len(x) for x in every])
     order = np.argsort(place, kind="stable")
     place, rows = place[order], rows[order]
-    step = max(1, (8 << 20) // max(1, len(left) + len(right)))
+    step = max(1, (8 << 20) // max(1, len(every)))
     for lo in range(0, len(universe), step):
         a, b = np.searchsorted(place, [lo, lo + step])
-        part = np.zeros((len(left) + len(right), min(step, len(universe) - lo)), np.float32)
+        part = np.zeros((len(every), min(step, len(universe) - lo)), np.float32)
         part[rows[a:b], place[a:b] - lo] = 1
-        out += part[: len(left)] @ part[len(left) :].T
+        out += part[: len(left)] @ part[first:].T
     return out
 
 
